@@ -14,6 +14,7 @@ from remitlens.functions.numeric import (
     percent,
     scaled,
 )
+from remitlens.functions.text import corridor_name
 
 
 def _as_double(value: Column) -> Column:
@@ -46,36 +47,69 @@ def fct_telecom_calls(stg_cdrs: DataFrame) -> DataFrame:
     return stg_cdrs.groupBy("user_id").agg(*call_metrics())
 
 
+def _transfer_totals(
+    *, rows: Column, cents: Column, top: Column, low: Column, frauds: Column, very_large: Column, micro: Column
+) -> list[Column]:
+    return [
+        rows.alias("total_transfers"),
+        (cents / 100.0).alias("total_transfer_usd"),
+        (half_up_div(cents, rows) / 100.0).alias("avg_transfer_usd"),
+        top.alias("max_transfer_usd"),
+        low.alias("min_transfer_usd"),
+        frauds.alias("fraud_transfers"),
+        percent(frauds, rows).alias("fraud_rate_pct"),
+        very_large.alias("very_large_transfers"),
+        micro.alias("micro_transfers"),
+    ]
+
+
+def transfer_totals(stg_transfers: DataFrame) -> DataFrame:
+    """The transfer fact without its distinct counts: all a mart needs, and it reads neither country nor corridor."""
+    usd, tier = F.col("transfer_amount_usd"), F.col("transfer_size_tier")
+    totals = _transfer_totals(
+        rows=F.count("*"),
+        cents=F.sum(scaled(usd)),
+        top=F.max(usd),
+        low=F.min(usd),
+        frauds=count_where(F.col("is_fraud_flag")),
+        very_large=count_where(tier == "very_large"),
+        micro=count_where(tier == "micro"),
+    )
+    return stg_transfers.groupBy("user_id").agg(*totals)
+
+
 def fct_financial_transfers(stg_transfers: DataFrame) -> DataFrame:
     """Two steps: per user and route, then per user.
 
-    The first step removes repeated routes with a plain hash aggregate; the three distinct counts, which Spark
-    evaluates by expanding its input, then run on routes instead of on transfers.
+    Spark evaluates several distinct counts by expanding its input, one copy per count. After the first step, a plain
+    hash aggregate, the expansion runs on routes instead of on transfers. The corridor follows from the two
+    countries, so it is derived in between instead of being carried as a third text key.
     """
-    usd = F.col("transfer_amount_usd")
-    per_route = stg_transfers.groupBy("user_id", "sender_country", "receiver_country", "corridor").agg(
-        F.count(F.lit(1)).alias("n"),
+    usd, tier = F.col("transfer_amount_usd"), F.col("transfer_size_tier")
+    per_route = stg_transfers.groupBy("user_id", "sender_country", "receiver_country").agg(
+        F.count("*").alias("n"),
         F.sum(scaled(usd)).alias("cents"),
         F.max(usd).alias("top"),
         F.min(usd).alias("low"),
         count_where(F.col("is_fraud_flag")).alias("frauds"),
-        count_where(F.col("transfer_size_tier") == "very_large").alias("very_large"),
-        count_where(F.col("transfer_size_tier") == "micro").alias("micro"),
+        count_where(tier == "very_large").alias("very_large"),
+        count_where(tier == "micro").alias("micro"),
     )
-    rows, cents, frauds = F.sum("n"), F.sum("cents"), F.sum("frauds")
-    return per_route.groupBy("user_id").agg(
-        rows.alias("total_transfers"),
-        (cents / 100.0).alias("total_transfer_usd"),
-        (half_up_div(cents, rows) / 100.0).alias("avg_transfer_usd"),
-        F.max("top").alias("max_transfer_usd"),
-        F.min("low").alias("min_transfer_usd"),
-        frauds.alias("fraud_transfers"),
-        percent(frauds, rows).alias("fraud_rate_pct"),
+    totals = _transfer_totals(
+        rows=F.sum("n"),
+        cents=F.sum("cents"),
+        top=F.max("top"),
+        low=F.min("low"),
+        frauds=F.sum("frauds"),
+        very_large=F.sum("very_large"),
+        micro=F.sum("micro"),
+    )
+    routes = per_route.withColumn("corridor", corridor_name(F.col("sender_country"), F.col("receiver_country")))
+    return routes.groupBy("user_id").agg(
+        *totals,
         F.count_distinct("sender_country").alias("distinct_sender_countries"),
         F.count_distinct("receiver_country").alias("distinct_receiver_countries"),
         F.count_distinct("corridor").alias("distinct_corridors"),
-        F.sum("very_large").alias("very_large_transfers"),
-        F.sum("micro").alias("micro_transfers"),
     )
 
 

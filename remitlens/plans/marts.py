@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.functions import classify as C
-from remitlens.functions.numeric import count_where, exact_mean, half_up_div, mean_of_counts, percent, scaled
+from remitlens.functions.numeric import count_where, exact_mean, exact_sum, mean_of_counts, percent
+from remitlens.functions.text import corridor_name
 
 CALL_COLUMNS = (
     "total_calls",
@@ -201,28 +202,23 @@ def mart_network_quality(stg_cdrs: DataFrame) -> DataFrame:
 
 
 def mart_corridor_analytics(stg_transfers: DataFrame) -> DataFrame:
-    """Two steps: per route and sender, then per route. A route carrying a third of all transfers is spread over
-    many tasks in the first step, and the sender count becomes a plain count in the second."""
-    usd = F.col("transfer_amount_usd")
+    """The sender count makes Spark aggregate per route and sender first, so a route carrying a third of all transfers
+    is spread over many tasks. Reports that do not show the sender count prune that step. The corridor name follows
+    from the route and is added at the end."""
+    usd, flagged = F.col("transfer_amount_usd"), F.col("is_fraud_flag")
+    rows, frauds = F.count("*"), count_where(flagged)
     sizes = ("micro", "small", "medium", "large", "very_large")
-    route = ("sender_country", "receiver_country", "corridor")
-    per_sender = stg_transfers.groupBy(*route, "user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(scaled(usd)).alias("cents"),
-        F.max(usd).alias("top"),
-        count_where(F.col("is_fraud_flag")).alias("frauds"),
-        *[count_where(F.col("transfer_size_tier") == size).alias(size) for size in sizes],
-    )
-    rows, cents, frauds = F.sum("n"), F.sum("cents"), F.sum("frauds")
-    totals = per_sender.groupBy(*route).agg(
+    totals = stg_transfers.groupBy("sender_country", "receiver_country").agg(
         rows.alias("total_transfers"),
-        F.count("user_id").alias("unique_senders"),
-        (cents / 100.0).alias("total_volume_usd"),
-        (half_up_div(cents, rows) / 100.0).alias("avg_transfer_usd"),
-        F.max("top").alias("max_transfer_usd"),
+        F.count_distinct("user_id").alias("unique_senders"),
+        exact_sum(usd).alias("total_volume_usd"),
+        exact_mean(usd).alias("avg_transfer_usd"),
+        F.max(usd).alias("max_transfer_usd"),
         frauds.alias("fraud_count"),
         percent(frauds, rows).alias("fraud_rate_pct"),
-        *[F.sum(size).alias(f"{size}_transfers") for size in sizes],
+        *[count_where(F.col("transfer_size_tier") == size).alias(f"{size}_transfers") for size in sizes],
     )
+    corridor = corridor_name(F.col("sender_country"), F.col("receiver_country"))
     risk = C.corridor_risk(F.col("fraud_count"), F.col("fraud_rate_pct"))
-    return _refreshed(totals.withColumn("corridor_risk", risk))
+    route, measures = totals.columns[:2], totals.columns[2:]
+    return _refreshed(totals.select(*route, corridor.alias("corridor"), *measures, risk.alias("corridor_risk")))

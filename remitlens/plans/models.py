@@ -43,10 +43,15 @@ MODELS: dict[str, Model] = {
 }
 
 
+# What an unevaluated mart reads instead of a full fact: the part of it that marts use.
+MART_INPUTS = {"fct_financial_transfers": (facts.transfer_totals, "stg_transfers")}
+
+
 class Warehouse:
     """Raw inputs plus every model as an unevaluated DataFrame, built on first use.
 
-    A report on a mart stays one Spark plan down to the scans, so only the columns it needs are aggregated.
+    A report on a mart stays one Spark plan down to the scans, so only the columns it needs are aggregated. A run that
+    writes the models (see ``runner``) builds the marts from the written facts instead.
     """
 
     def __init__(self, raw: Mapping[str, Callable[[], DataFrame]]):
@@ -71,5 +76,15 @@ class Warehouse:
                 self._built[name] = self._raw[name]()
             else:
                 model = MODELS[name]
-                self._built[name] = model.build(*[self[source] for source in model.inputs])
+                source_of = self._mart_input if name.startswith("mart_") else self.__getitem__
+                self._built[name] = model.build(*[source_of(source) for source in model.inputs])
         return self._built[name]
+
+    def _mart_input(self, name: str) -> DataFrame:
+        if name not in MART_INPUTS:
+            return self[name]
+        build, source = MART_INPUTS[name]
+        key = f"{name}/mart_input"
+        if key not in self._built:
+            self._built[key] = build(self[source])
+        return self._built[key]

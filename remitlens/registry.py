@@ -20,7 +20,7 @@ from remitlens.plans import reports, views
 from remitlens.plans.models import MODELS, Warehouse
 from remitlens.plans.runner import file_store, run_models, run_summary
 from remitlens.plans.staging import stg_cdrs
-from remitlens.session import scratch_path, settle
+from remitlens.session import prepare, scratch_path, settle
 from remitlens.sources import bindings, readers, writers
 from remitlens.sources.bindings import plain_timestamps, raw_cdrs, raw_payments, raw_tickets, raw_transfers
 from remitlens.streaming import ingest
@@ -40,8 +40,7 @@ RAW_READERS = {
 def _register(name: str, query: Query) -> None:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # All instants of the data contract are UTC.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        prepare(spark)
         return query(spark, sf_dir)
 
     QUERIES[name] = run

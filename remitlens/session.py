@@ -17,6 +17,9 @@ BASE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Recording a call site per column expression costs more driver time than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     # Streaming aggregates and dedup keep more keys than fit on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -44,6 +47,12 @@ def build_session(
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Apply the settings that results or planning time depend on to a session built elsewhere."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.dataFrameQueryContext.enabled"):
+        spark.conf.set(key, BASE_SETTINGS[key])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 

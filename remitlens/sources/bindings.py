@@ -51,30 +51,21 @@ def raw_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers carry the country keys through the large joins; the names are looked up at the end."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.lower("n_name").alias("country"))
-    senders = (
-        read_table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("country").alias("sender"))
-    )
-    receivers = (
-        read_table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("country").alias("receiver"))
-    )
-    sending_orders = (
-        read_table(spark, sf_dir, "orders")
-        .where(F.col("o_custkey") % 5 != 0)
-        .join(senders, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_custkey", "sender")
-    )
+    home = nation.select(F.col("n_nationkey").alias("home_key"), F.col("country").alias("sender"))
+    away = nation.select(F.col("n_nationkey").alias("away_key"), F.col("country").alias("receiver"))
+    order_keys = read_table(spark, sf_dir, "orders").where(F.col("o_custkey") % 5 != 0).select("o_orderkey", "o_custkey")
     suspicious = (
         (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.045) & (F.col("o_custkey") % 4 == 1)
     )
     return (
         read_table(spark, sf_dir, "lineitem")
-        .join(sending_orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(receivers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(order_keys, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(read_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(home, F.col("c_nationkey") == F.col("home_key"))
+        .join(away, F.col("s_nationkey") == F.col("away_key"))
         .select(
             _id("TRF", "l_orderkey", "l_linenumber").alias("transfer_id"),
             _id("USR", "o_custkey").alias("user_id"),
