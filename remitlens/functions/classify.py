@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from remitlens.functions.numeric import half_up_div, round_half_up, scaled
+from remitlens.functions.numeric import half_away_div, round_half_up, scaled
 
 # --- fixed values -------------------------------------------------------------------------------------------
 SUCCESSFUL_PAYMENT_STATUSES = ("completed", "success", "paid")
@@ -157,14 +157,14 @@ def corridor_risk(fraud_count: Column, fraud_pct: Column) -> Column:
 
 def unit_value(total: Column, units: Column) -> Column:
     """Money per unit, rounded to cents; 0 when there are no units."""
-    per_unit = half_up_div(scaled(total, 2), units) / F.lit(100.0)
+    per_unit = half_away_div(scaled(total, 2), units) / F.lit(100.0)
     return F.when(zero_if_null(units) > 0, per_unit).otherwise(F.lit(0.0))
 
 
 def lifetime_value(revenue: Column, transfer_usd: Column) -> Column:
     """Revenue plus 5 % of the transfer volume, rounded to cents."""
     per_ten_thousand = scaled(revenue, 2) * 100 + scaled(F.coalesce(transfer_usd, F.lit(0.0)), 2) * 5
-    return half_up_div(per_ten_thousand, F.lit(100).cast("bigint")) / F.lit(100.0)
+    return half_away_div(per_ten_thousand, F.lit(100)) / F.lit(100.0)
 
 
 def signal_bucket(signals: Column) -> Column:

@@ -24,50 +24,53 @@ def round_half_up(value: Column, places: int) -> Column:
     """
     if not 0 <= places <= 5:
         raise ValueError("places must be between 0 and 5")
-    micros = F.floor(F.abs(value) * F.lit(1.0e6) + F.lit(0.5))
-    half = 5 * 10 ** (5 - places)
-    steps = F.floor((micros + F.lit(half)) / F.lit(float(10 ** (6 - places))))
-    fast = F.when(value < 0, -steps).otherwise(steps) / F.lit(float(10**places))
+    size = F.abs(value)
+    micros = F.floor(size * 1.0e6 + 0.5)
+    steps = F.floor((micros + 5 * 10 ** (5 - places)) / float(10 ** (6 - places)))
+    fast = F.when(value < 0, -steps).otherwise(steps) / float(10**places)
     exact = F.round(value.cast("decimal(24,6)"), places).cast("double")
-    return F.when(F.abs(value) < F.lit(_FAST_LIMIT), fast).otherwise(exact)
+    return F.when(size < _FAST_LIMIT, fast).otherwise(exact)
 
 
 def half_up_div(numerator: Column, denominator: Column) -> Column:
-    """BIGINT division rounded half away from zero; NULL when the denominator is 0 or NULL."""
-    den = F.nullif(denominator, F.lit(0).cast("bigint"))
-    doubled = F.call_function("div", F.abs(numerator) * 2 + den, den * 2)
-    return F.when(numerator < 0, -doubled).otherwise(doubled)
+    """BIGINT division rounded half up, for values that are not negative; NULL when the denominator is 0 or NULL."""
+    den = F.nullif(denominator, F.lit(0))
+    return F.call_function("div", numerator * 2 + den, den * 2)
+
+
+def half_away_div(numerator: Column, denominator: Column) -> Column:
+    """BIGINT division rounded half away from zero, for amounts of either sign."""
+    size = half_up_div(F.abs(numerator), denominator)
+    return F.when(numerator < 0, -size).otherwise(size)
 
 
 def fixed_ratio(numerator: Column, denominator: Column, places: int = 2) -> Column:
-    """numerator / denominator for BIGINT inputs, rounded exactly to ``places`` decimals, as a double."""
-    scale = 10**places
-    return half_up_div(numerator * F.lit(scale).cast("bigint"), denominator) / F.lit(float(scale))
+    """numerator / denominator for BIGINT inputs of either sign, rounded exactly to ``places`` decimals, as a double."""
+    return half_away_div(numerator * 10**places, denominator) / float(10**places)
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
     """100 * part / whole for BIGINT counts; NULL for an empty whole."""
-    return fixed_ratio(part * 100, whole, places)
+    return half_up_div(part * 10 ** (places + 2), whole) / float(10**places)
 
 
 def scaled(value: Column, places: int = 2) -> Column:
     """The BIGINT number of 10**-places units in a double that already carries at most ``places`` decimals."""
-    return F.floor(value * F.lit(float(10**places)) + F.lit(0.5))
+    return F.floor(value * float(10**places) + 0.5)
 
 
 def exact_sum(value: Column, places: int = 2) -> Column:
     """Sum of a column that carries at most ``places`` decimals; independent of row order."""
-    return F.sum(scaled(value, places)) / F.lit(float(10**places))
+    return F.sum(scaled(value, places)) / float(10**places)
 
 
 def exact_mean(value: Column, places: int = 2, result_places: int | None = None) -> Column:
     """Mean of a column that carries at most ``places`` decimals, rounded exactly to ``result_places``."""
     out = places if result_places is None else result_places
-    if out >= places:
-        total = F.sum(scaled(value, places)) * F.lit(10 ** (out - places)).cast("bigint")
-        return half_up_div(total, F.count(value)) / F.lit(float(10**out))
-    shrink = F.lit(10 ** (places - out)).cast("bigint")
-    return half_up_div(F.sum(scaled(value, places)), F.count(value) * shrink) / F.lit(float(10**out))
+    if out > places:
+        raise ValueError("a mean cannot be given more decimals than its values carry")
+    units = F.count(value) * 10 ** (places - out) if out < places else F.count(value)
+    return half_away_div(F.sum(scaled(value, places)), units) / float(10**out)
 
 
 def mean_of_counts(value: Column, places: int = 2) -> Column:

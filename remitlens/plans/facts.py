@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from remitlens.functions.numeric import (
     count_where,
     exact_mean,
-    half_up_div,
+    half_away_div,
     mean_of_counts,
     percent,
     scaled,
@@ -53,7 +53,7 @@ def _transfer_totals(
     return [
         rows.alias("total_transfers"),
         (cents / 100.0).alias("total_transfer_usd"),
-        (half_up_div(cents, rows) / 100.0).alias("avg_transfer_usd"),
+        (half_away_div(cents, rows) / 100.0).alias("avg_transfer_usd"),
         top.alias("max_transfer_usd"),
         low.alias("min_transfer_usd"),
         frauds.alias("fraud_transfers"),
@@ -151,7 +151,7 @@ def fct_payments(stg_payments: DataFrame) -> DataFrame:
     return per_plan.groupBy("user_id").agg(
         rows.alias("total_payments"),
         (cents / 100.0).alias("total_payment_amount"),
-        (half_up_div(cents, rows) / 100.0).alias("avg_payment_amount"),
+        (half_away_div(cents, rows) / 100.0).alias("avg_payment_amount"),
         F.sum("succeeded").alias("successful_payments"),
         failed.alias("failed_payments"),
         percent(failed, rows).alias("payment_failure_rate_pct"),

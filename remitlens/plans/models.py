@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,14 +62,8 @@ class Warehouse:
     @classmethod
     def over(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
         """The warehouse over the supplied tables."""
-        return cls(
-            {
-                "raw_tickets": lambda: bindings.raw_tickets(spark, sf_dir),
-                "raw_cdrs": lambda: bindings.raw_cdrs(spark, sf_dir),
-                "raw_transfers": lambda: bindings.raw_transfers(spark, sf_dir),
-                "raw_payments": lambda: bindings.raw_payments(spark, sf_dir),
-            }
-        )
+        tables = bindings.SourceTables(spark, sf_dir)
+        return cls({name: partial(bind, tables) for name, bind in bindings.RAW_INPUTS.items()})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.functions.classify import CHURN_LEVELS
-from remitlens.functions.numeric import count_where, exact_mean, exact_sum, half_up_div, scaled
+from remitlens.functions.numeric import count_where, exact_mean, exact_sum, half_away_div, scaled
 from remitlens.operators.ranking import ranked_top_k
 
 
@@ -33,7 +33,7 @@ def vw_revenue_by_plan(revenue_mart: DataFrame) -> DataFrame:
     return revenue_mart.groupBy("latest_subscription_plan").agg(
         (cents / 100.0).alias("total_revenue"),
         payments.alias("total_transactions"),
-        (half_up_div(cents, payments) / 100.0).alias("avg_spend"),
+        (half_away_div(cents, payments) / 100.0).alias("avg_spend"),
     )
 
 

@@ -22,19 +22,13 @@ from remitlens.plans.runner import file_store, run_models, run_summary
 from remitlens.plans.staging import stg_cdrs
 from remitlens.session import prepare, scratch_path, settle
 from remitlens.sources import bindings, readers, writers
-from remitlens.sources.bindings import plain_timestamps, raw_cdrs, raw_payments, raw_tickets, raw_transfers
+from remitlens.sources.bindings import plain_timestamps
 from remitlens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 REFRESH_COLUMNS = ("mart_refreshed_at", "refreshed_at")
-RAW_READERS = {
-    "raw_tickets": raw_tickets,
-    "raw_cdrs": raw_cdrs,
-    "raw_transfers": raw_transfers,
-    "raw_payments": raw_payments,
-}
 
 
 def _register(name: str, query: Query) -> None:
@@ -131,17 +125,17 @@ on_tables(
 
 @query("profile_nulls")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.stacked(
-        [profiling.null_profile(read(spark, sf_dir), name) for name, read in RAW_READERS.items()]
-    )
+    tables = Warehouse.over(spark, sf_dir)
+    return quality.stacked([profiling.null_profile(tables[name], name) for name in schemas.RAW_TABLES])
 
 
 @query("distinct_users")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Warehouse.over(spark, sf_dir)
     return quality.stacked(
         [
-            read(spark, sf_dir).agg(F.lit(name).alias("source"), F.count_distinct("user_id").alias("users"))
-            for name, read in RAW_READERS.items()
+            tables[name].agg(F.lit(name).alias("source"), F.count_distinct("user_id").alias("users"))
+            for name in schemas.RAW_TABLES
         ]
     )
 
@@ -211,20 +205,20 @@ on_tables("distinct_user_ids", lambda df: filters.filter_options(df, "user_id"),
 @query("src_json_array")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ticket-documents")
-    writers.land_json_arrays(raw_tickets(spark, sf_dir), path, records_per_array=10_000, one_array_per_file=True)
+    writers.land_json_arrays(Warehouse.over(spark, sf_dir)["raw_tickets"], path, records_per_array=10_000, one_array_per_file=True)
     return plain_timestamps(readers.read_json(spark, path, schemas.TICKETS, glob="*.txt"))
 
 
 @query("src_json_microbatches")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "call-batches")
-    writers.land_json_arrays(raw_cdrs(spark, sf_dir), path, records_per_array=100, one_array_per_file=False)
+    writers.land_json_arrays(Warehouse.over(spark, sf_dir)["raw_cdrs"], path, records_per_array=100, one_array_per_file=False)
     return plain_timestamps(readers.read_json(spark, path, schemas.CDRS, multi_line=False, glob="*.txt"))
 
 
 def _landed_payments(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "payments-csv")
-    writers.export_csv(raw_payments(spark, sf_dir), path)
+    writers.export_csv(Warehouse.over(spark, sf_dir)["raw_payments"], path)
     return path
 
 
@@ -253,13 +247,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts landed as text, every thirteenth of them unreadable."""
     number = F.substring("transaction_id", 5, 30).cast("bigint")
     text = F.when(number % 13 == 0, F.lit("n/a")).otherwise(F.col("payment_amount").cast("string"))
-    landed = raw_payments(spark, sf_dir).select("transaction_id", "user_id", text.alias("payment_amount"))
+    landed = Warehouse.over(spark, sf_dir)["raw_payments"].select("transaction_id", "user_id", text.alias("payment_amount"))
     return filters.coerce_numeric(landed, ["payment_amount"])
 
 
 @query("ingest_audit_columns")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = raw_tickets(spark, sf_dir).drop(*schemas.AUDIT_COLUMNS)
+    source = Warehouse.over(spark, sf_dir)["raw_tickets"].drop(*schemas.AUDIT_COLUMNS)
     audited = readers.with_audit_columns(source)
     return plain_timestamps(
         audited.select(
@@ -285,7 +279,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sink_append")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tickets-appended")
-    tickets = raw_tickets(spark, sf_dir)
+    tickets = Warehouse.over(spark, sf_dir)["raw_tickets"]
     for _ in range(2):
         appended = writers.append_files(tickets, path)
     return plain_timestamps(appended)
@@ -303,24 +297,24 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- data quality --------------------------------------------------------------------------------------------
 @query("dq_required_fields")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Warehouse.over(spark, sf_dir)
     return quality.stacked(
-        [
-            quality.required_field_nulls(name, read(spark, sf_dir), schemas.REQUIRED[name])
-            for name, read in RAW_READERS.items()
-        ]
+        [quality.required_field_nulls(name, tables[name], schemas.REQUIRED[name]) for name in schemas.RAW_TABLES]
     )
 
 
 @query("dq_audit_present")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.required_field_nulls("raw_tickets", raw_tickets(spark, sf_dir), schemas.AUDIT_COLUMNS)
+    tickets = Warehouse.over(spark, sf_dir)["raw_tickets"]
+    return quality.required_field_nulls("raw_tickets", tickets, schemas.AUDIT_COLUMNS)
 
 
 on_tables("meta_columns", lambda df: quality.column_metadata("raw_tickets", df), "raw_tickets")
 
 
 def _built_tables(spark: SparkSession, sf_dir: str):
-    raw = {name: read(spark, sf_dir) for name, read in RAW_READERS.items()}
+    tables = Warehouse.over(spark, sf_dir)
+    raw = {name: tables[name] for name in schemas.RAW_TABLES}
     return run_models(raw, file_store(scratch_path(spark, "warehouse")))
 
 
@@ -339,18 +333,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_min_rows")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     minimum = {"raw_cdrs": 2000, "raw_transfers": 1000, "raw_payments": 1000}
-    return quality.minimum_rows({name: RAW_READERS[name](spark, sf_dir) for name in minimum}, minimum)
+    tables = Warehouse.over(spark, sf_dir)
+    return quality.minimum_rows({name: tables[name] for name in minimum}, minimum)
 
 
 @query("dq_duplicate_keys")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = Warehouse.over(spark, sf_dir)[FRAUD]
-    return quality.stacked(
-        [
-            quality.duplicate_keys(FRAUD, mart, "user_id"),
-            quality.duplicate_keys("raw_transfers", raw_transfers(spark, sf_dir), "transfer_id"),
-        ]
-    )
+    tables = Warehouse.over(spark, sf_dir)
+    keys = ((FRAUD, "user_id"), ("raw_transfers", "transfer_id"))
+    return quality.stacked([quality.duplicate_keys(name, tables[name], key) for name, key in keys])
 
 
 on_tables("dq_coverage", quality.domain_coverage, FRAUD)
@@ -358,18 +349,19 @@ on_tables("dq_coverage", quality.domain_coverage, FRAUD)
 
 @query("dq_orphan_users")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parent = raw_tickets(spark, sf_dir)
+    tables = Warehouse.over(spark, sf_dir)
     children = ("raw_cdrs", "raw_transfers", "raw_payments")
     return quality.stacked(
-        [quality.orphan_keys(name, RAW_READERS[name](spark, sf_dir), parent, "user_id") for name in children]
+        [quality.orphan_keys(name, tables[name], tables["raw_tickets"], "user_id") for name in children]
     )
 
 
 @query("dq_expected_columns")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = Warehouse.over(spark, sf_dir)
     return quality.stacked(
         [
-            quality.expected_columns(name, RAW_READERS[name](spark, sf_dir), schemas.RAW_SCHEMAS[name].names)
+            quality.expected_columns(name, tables[name], schemas.RAW_SCHEMAS[name].names)
             for name in ("raw_cdrs", "raw_transfers", "raw_payments")
         ]
     )
@@ -377,13 +369,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_landing_files")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "landing")
+    tables, root = Warehouse.over(spark, sf_dir), scratch_path(spark, "landing")
     parts = []
     for prefix, name in (("stream/cdrs", "raw_cdrs"), ("stream/transfers", "raw_transfers")):
-        ingest.publish_messages(RAW_READERS[name](spark, sf_dir), f"{root}/{prefix}")
+        ingest.publish_messages(tables[name], f"{root}/{prefix}")
         parts.append(quality.landing_files(prefix, spark.read.text(f"{root}/{prefix}")))
     payments = f"{root}/batch/payments"
-    writers.export_csv(raw_payments(spark, sf_dir), payments)
+    writers.export_csv(tables["raw_payments"], payments)
     parts.append(quality.landing_files("batch/payments", readers.read_csv(spark, payments, schemas.PAYMENTS)))
     return quality.stacked(parts)
 
@@ -391,7 +383,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- deduplication -------------------------------------------------------------------------------------------
 def _redelivered_calls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All calls, and the fifth of them that is delivered again."""
-    events = bindings.read_table(spark, sf_dir, "events")
+    events = bindings.SourceTables(spark, sf_dir)["events"]
     again = events.where(F.col("event_id") % 5 == 0)
     return bindings.calls_from_events(events), bindings.calls_from_events(again)
 
@@ -409,14 +401,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_landing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two message streams landed as JSON files, one query each, then read back from the landing folders."""
-    root = scratch_path(spark, "stream-landing")
+    tables, root = Warehouse.over(spark, sf_dir), scratch_path(spark, "stream-landing")
     landed = []
     for label, name, key, measure in (
         ("CDR", "raw_cdrs", "call_id", "duration_seconds"),
         ("TRANSFER", "raw_transfers", "transfer_id", "transfer_amount_usd"),
     ):
         topic, out = f"{root}/topic/{name}", f"{root}/landed/{name}"
-        ingest.publish_messages(RAW_READERS[name](spark, sf_dir), topic)
+        ingest.publish_messages(tables[name], topic)
         stream = ingest.consume_topic(spark, topic, schemas.RAW_SCHEMAS[name])
         ingest.drain(ingest.land_json(stream, out, f"{root}/checkpoint/{name}"))
         rows = readers.read_json(spark, out, schemas.RAW_SCHEMAS[name], multi_line=False)
@@ -435,7 +427,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches written idempotently; the second run on the same checkpoint finds nothing new."""
     root = scratch_path(spark, "stream-batches")
-    ingest.publish_messages(raw_cdrs(spark, sf_dir), f"{root}/topic")
+    ingest.publish_messages(Warehouse.over(spark, sf_dir)["raw_cdrs"], f"{root}/topic")
     for _ in range(2):
         stream = ingest.consume_topic(spark, f"{root}/topic", schemas.CDRS)
         ingest.drain(ingest.land_batches(stream, f"{root}/out", f"{root}/checkpoint"))

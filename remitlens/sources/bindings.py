@@ -10,8 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class SourceTables:
+    """The supplied tables by name; each is opened once, however many inputs use it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._opened[name]
 
 
 def _id(prefix: str, *keys: str) -> Column:
@@ -46,24 +55,24 @@ def calls_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calls_from_events(read_table(spark, sf_dir, "events"))
+def raw_cdrs(tables: SourceTables) -> DataFrame:
+    return calls_from_events(tables["events"])
 
 
-def raw_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transfers(tables: SourceTables) -> DataFrame:
     """Transfers carry the country keys through the large joins; the names are looked up at the end."""
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.lower("n_name").alias("country"))
+    nation = tables["nation"].select("n_nationkey", F.lower("n_name").alias("country"))
     home = nation.select(F.col("n_nationkey").alias("home_key"), F.col("country").alias("sender"))
     away = nation.select(F.col("n_nationkey").alias("away_key"), F.col("country").alias("receiver"))
-    order_keys = read_table(spark, sf_dir, "orders").where(F.col("o_custkey") % 5 != 0).select("o_orderkey", "o_custkey")
+    order_keys = tables["orders"].where(F.col("o_custkey") % 5 != 0).select("o_orderkey", "o_custkey")
     suspicious = (
         (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.045) & (F.col("o_custkey") % 4 == 1)
     )
     return (
-        read_table(spark, sf_dir, "lineitem")
+        tables["lineitem"]
         .join(order_keys, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(read_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .join(tables["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
         .join(home, F.col("c_nationkey") == F.col("home_key"))
         .join(away, F.col("s_nationkey") == F.col("away_key"))
         .select(
@@ -77,8 +86,8 @@ def raw_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+def raw_payments(tables: SourceTables) -> DataFrame:
+    customer = tables["customer"].select("c_custkey", "c_mktsegment")
     order = F.col("o_orderkey")
     status = (
         F.when(F.col("o_orderstatus") == "F", F.lit("Success "))
@@ -88,7 +97,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("Failed"))
     )
     return (
-        read_table(spark, sf_dir, "orders")
+        tables["orders"]
         .where(F.col("o_custkey") % 7 != 0)
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .select(
@@ -101,7 +110,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_tickets(tables: SourceTables) -> DataFrame:
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
     opened = F.col("o_orderdate").cast("timestamp")
     minutes = ((order * 7) % 5000).cast("int")
@@ -119,7 +128,7 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     loaded_at = F.lit("2024-01-01 00:00:00").cast("timestamp")
     return (
-        read_table(spark, sf_dir, "orders")
+        tables["orders"]
         .where(order % 10 < 3)
         .select(
             _id("ZD", "o_orderkey").alias("ticket_id"),
@@ -145,3 +154,11 @@ def plain_timestamps(df: DataFrame) -> DataFrame:
             for name, kind in df.dtypes
         ]
     )
+
+
+RAW_INPUTS = {
+    "raw_tickets": raw_tickets,
+    "raw_cdrs": raw_cdrs,
+    "raw_transfers": raw_transfers,
+    "raw_payments": raw_payments,
+}
