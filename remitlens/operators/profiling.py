@@ -11,15 +11,16 @@ from remitlens.functions.numeric import count_where, fixed_ratio, round_half_up
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between the minimum and the maximum; the last bin includes the maximum.
 
-    The bounds enter as scalar subqueries, so the data is scanned twice but never joined.
+    Both bounds enter as one scalar subquery, so the data is read twice but never joined.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    bounds = values.agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
-    placed = values.withColumns({"low": low, "high": high})
+    bounds = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("bounds"))
+    placed = values.select("v", bounds.scalar().alias("bounds")).select("v", "bounds.low", "bounds.high")
     span = F.col("high") - F.col("low")
     position = F.floor((F.col("v") - F.col("low")) / span * bins)
-    bin_number = F.when(span == 0, F.lit(0).cast("bigint")).otherwise(F.least(position, F.lit(bins - 1).cast("bigint")))
+    bin_number = F.when(span == 0, F.lit(0).cast("bigint")).otherwise(
+        F.least(position, F.lit(bins - 1).cast("bigint"))
+    )
     counted = placed.groupBy(bin_number.alias("bin"), "low", "high").agg(F.count(F.lit(1)).alias("rows"))
     width = (F.col("high") - F.col("low")) / bins
     return counted.select(

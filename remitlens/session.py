@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on. Shuffle width is left to AQE, which coalesces from a wide start.
+# Settings every job relies on.
 BASE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -27,6 +27,10 @@ BASE_SETTINGS = {
 }
 
 
+# On a cluster AQE starts from many shuffle partitions and merges them up to the advisory size.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000"}
+
+
 def build_session(
     app_name: str = "remitlens",
     master: str | None = None,
@@ -39,6 +43,8 @@ def build_session(
     if master is not None:
         builder = builder.master(master)
         settings["spark.ui.enabled"] = "false"
+    else:
+        settings.update(CLUSTER_SETTINGS)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})

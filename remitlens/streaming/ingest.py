@@ -40,9 +40,15 @@ def consume_topic(
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the supplied tables as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """One of the supplied tables as a stream, whether it is a single file or a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    table = spark.read.parquet(path)
+    stream = spark.readStream.schema(table.schema)
+    some_file = table.select("_metadata.file_path").first()
+    if some_file is not None and some_file[0].endswith(f"/{name}.parquet"):
+        # A file stream watches folders; a single file is picked by its name.
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return stream.parquet(path)
 
 
 def drain(query: StreamingQuery) -> None:
