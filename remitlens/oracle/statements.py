@@ -245,6 +245,12 @@ def _bodies() -> dict[str, str]:
             (SELECT {totals("IFNULL(payment_amount, 0)")} FROM raw_payments) AS payment_revenue_usd FROM raw_cdrs""",
     }
 
+    found["executive_kpis_from_marts"] = f"""SELECT (SELECT COUNT(*) FROM mart_fraud_prevention) AS users,
+        (SELECT COUNT(*) FROM mart_fraud_prevention WHERE {ELEVATED}) AS high_risk_users,
+        total_calls AS calls, connection_success_rate_pct AS connection_pct,
+        (SELECT {totals("transfer_amount_usd")} FROM stg_transfers) AS transfer_volume_usd,
+        (SELECT {totals("payment_amount")} FROM stg_payments) AS revenue_usd FROM mart_network_quality"""
+
     # customers, network
     health = rounded("AVG(customer_health_score)", 1)
     call_means = f"""{rounded("AVG(IFNULL(call_quality_score, 0))", 2)} AS avg_quality,

@@ -203,6 +203,29 @@ def executive_kpis(
     )
 
 
+def executive_kpis_from_marts(
+    fraud_mart: DataFrame, network_mart: DataFrame, corridor_mart: DataFrame, revenue_mart: DataFrame
+) -> DataFrame:
+    """The same row from the marts alone."""
+    calls = network_mart.agg(
+        F.struct(
+            F.coalesce(F.max("total_calls"), F.lit(0).cast("bigint")).alias("calls"),
+            F.coalesce(F.max("connection_success_rate_pct"), F.lit(0.0)).alias("connection_pct"),
+        ).alias("c")
+    )
+    volume = corridor_mart.agg(F.coalesce(exact_sum(F.col("total_volume_usd")), F.lit(0.0)).alias("v"))
+    revenue = revenue_mart.agg(F.coalesce(exact_sum(F.col("total_revenue")), F.lit(0.0)).alias("r"))
+    users = fraud_mart.agg(F.count(ROWS).alias("users"), _in_tier(*C.ELEVATED_RISK).alias("high_risk_users"))
+    return users.select("*", calls.scalar().alias("c"), volume.scalar().alias("v"), revenue.scalar().alias("r")).select(
+        "users",
+        "high_risk_users",
+        F.col("c.calls").alias("calls"),
+        F.col("c.connection_pct").alias("connection_pct"),
+        F.col("v").alias("transfer_volume_usd"),
+        F.col("r").alias("revenue_usd"),
+    )
+
+
 # --- customers -----------------------------------------------------------------------------------------------
 def _users_and_health(customer_mart: DataFrame, *keys: str) -> DataFrame:
     return customer_mart.groupBy(*keys).agg(

@@ -77,6 +77,7 @@ on_tables("fraud_ledger_by_exposure", reports.fraud_ledger_by_exposure, FRAUD)
 on_tables("risk_profile", reports.risk_profile, FRAUD)
 on_tables("fmt_currency", reports.money_labels, FRAUD)
 on_tables("executive_kpis", reports.executive_kpis, FRAUD, "raw_cdrs", "raw_transfers", "raw_payments")
+on_tables("executive_kpis_from_marts", reports.executive_kpis_from_marts, FRAUD, NETWORK, CORRIDOR, REVENUE)
 on_tables("segment_summary", reports.segment_summary, CUSTOMER)
 on_tables("segment_churn_matrix", reports.segment_churn_matrix, CUSTOMER)
 on_tables("churn_distribution", reports.churn_distribution, CUSTOMER)
@@ -441,7 +442,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in _redelivered_calls(spark, sf_dir):
         ingest.publish_messages(delivery, f"{root}/topic")
     stream = ingest.consume_topic(spark, f"{root}/topic", schemas.CDRS, max_files_per_batch=1)
-    unique = ingest.drop_redelivered(stream, "call_id")
+    unique = ingest.drop_redelivered(stream, "call_id", spread=8)
     ingest.drain(ingest.land_parquet(unique, f"{root}/out", f"{root}/checkpoint"))
     return plain_timestamps(spark.read.schema(schemas.CDRS).parquet(f"{root}/out"))
 

@@ -96,18 +96,21 @@ def land_batches(stream: DataFrame, out: str, checkpoint: str, mode: str = "appe
     )
 
 
-def drop_redelivered(stream: DataFrame, key: str, horizon: str = "1 day") -> DataFrame:
+def drop_redelivered(stream: DataFrame, key: str, horizon: str = "1 day", spread: int = 1) -> DataFrame:
     """Drop messages whose key was seen within the horizon.
 
     The watermark is taken from the arrival time. Arrival times never decrease, so no message is ever late and
     none is lost, and streams without an event time work too; state older than the horizon is discarded.
+
+    All copies of a key meet in one state task. Where a single key can be delivered in floods, ``spread`` first removes
+    copies within each of that many groups of source partitions, so that at most ``spread`` copies per horizon reach
+    the task of the key. This costs a second shuffle and is off by default.
     """
-    return (
-        stream.withColumn("_arrived_at", F.current_timestamp())
-        .withWatermark("_arrived_at", horizon)
-        .dropDuplicatesWithinWatermark([key])
-        .drop("_arrived_at")
-    )
+    arrived = stream.withColumn("_arrived_at", F.current_timestamp()).withWatermark("_arrived_at", horizon)
+    if spread > 1:
+        grouped = arrived.withColumn("_group", F.spark_partition_id() % spread)
+        arrived = grouped.dropDuplicatesWithinWatermark([key, "_group"]).drop("_group")
+    return arrived.dropDuplicatesWithinWatermark([key]).drop("_arrived_at")
 
 
 def call_facts_stream(raw_calls: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -50,8 +50,8 @@ def test_unreadable_message_fails_the_query(spark, tmp_path):
         ingest.drain(ingest.land_json(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")))
 
 
-@pytest.mark.parametrize("name", ["raw_cdrs", "raw_transfers"])
-def test_redelivery_is_dropped_across_batches_and_restarts(spark, sf_dir, tmp_path, name):
+@pytest.mark.parametrize(("name", "spread"), [("raw_cdrs", 1), ("raw_transfers", 1), ("raw_cdrs", 4)])
+def test_redelivery_is_dropped_across_batches_and_restarts(spark, sf_dir, tmp_path, name, spread):
     """Transfers have no event time, calls do; both are deduplicated by arrival."""
     topic, out, checkpoint = (str(tmp_path / part) for part in ("topic", "out", "checkpoint"))
     key = schemas.REQUIRED[name][0]
@@ -59,7 +59,7 @@ def test_redelivery_is_dropped_across_batches_and_restarts(spark, sf_dir, tmp_pa
     for delivery in (rows, rows.where(F.crc32(key) % 3 == 0), rows.where(F.crc32(key) % 3 == 1)):
         ingest.publish_messages(delivery, topic)
         stream = ingest.consume_topic(spark, topic, schemas.RAW_SCHEMAS[name], max_files_per_batch=3)
-        ingest.drain(ingest.land_parquet(ingest.drop_redelivered(stream, key), out, checkpoint))
+        ingest.drain(ingest.land_parquet(ingest.drop_redelivered(stream, key, spread=spread), out, checkpoint))
     landed = spark.read.schema(schemas.RAW_SCHEMAS[name]).parquet(out)
     assert landed.count() == rows.count()
     assert landed.select(key).distinct().count() == landed.count()
@@ -86,3 +86,13 @@ def test_tables_stream_from_a_file_or_a_folder(spark, sf_dir, tmp_path):
         ingest.drain(ingest.land_parquet(stream, out, str(tmp_path / f"checkpoint{number}")))
         counts.append(spark.read.parquet(out).count())
     assert counts == [1000, 1000]
+
+
+def test_a_flood_of_one_message(spark, calls, tmp_path):
+    """A third of all deliveries are copies of one message."""
+    topic, out, checkpoint = (str(tmp_path / part) for part in ("topic", "out", "checkpoint"))
+    copies = calls.limit(1).crossJoin(spark.range(470)).drop("id")
+    ingest.publish_messages(calls.unionByName(copies).repartition(6), topic)
+    stream = ingest.consume_topic(spark, topic, schemas.CDRS, max_files_per_batch=2)
+    ingest.drain(ingest.land_parquet(ingest.drop_redelivered(stream, "call_id", spread=4), out, checkpoint))
+    assert equal(spark.read.schema(schemas.CDRS).parquet(out), calls)
