@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import exact, sharding, tokens
+from remitlens.llm import exact, language, minhash, sharding, tokens
 from remitlens.llm.common import documents, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One half of the rows, by a checksum of the id, plays the past that is already indexed."""
     is_past = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     return exact.exact_duplicates(documents(spark, sf_dir), is_past).drop("in_past")
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.train(docs.where(language.learnable()))
+    found = language.identify(docs, model)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query("op8_minhash_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), minhash.STRICT)
