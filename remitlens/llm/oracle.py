@@ -14,3 +14,24 @@ w AS (
   FROM t WINDOW p AS (PARTITION BY bare ORDER BY length(body) DESC, doc_id NULLS FIRST))
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM w
 """
+
+ORACLE["op3_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS body, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+w AS (
+  SELECT doc_id, i, ls[i:i+2] AS k FROM d, unnest(range(1, len(ls) - 1)) AS r(i)),
+rep AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM w) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM rep, unnest([0, 1, 2]) AS s(j)),
+facts AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE apart) AS n_runs FROM (
+    SELECT doc_id, p - coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1) > 1 AS apart FROM gone) GROUP BY doc_id),
+kept AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.p) AS stay
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p FROM d) l
+  LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.p = g.p WHERE g.p IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, len(ls) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+       sha256(coalesce(stay, '')) AS kept_sha256
+FROM d LEFT JOIN facts f ON d.doc_id = f.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

@@ -8,7 +8,18 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import exact, language, minhash, sharding, tokens
+from remitlens.llm import (
+    decontam,
+    exact,
+    language,
+    lines,
+    minhash,
+    sentencepieces,
+    sharding,
+    substrings,
+    suffixes,
+    tokens,
+)
 from remitlens.llm.common import documents, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +70,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_minhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), minhash.STRICT)
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated_substrings(documents(spark, sf_dir))
+
+
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicated_lines(documents(spark, sf_dir))
+    return found.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentencepieces.checked(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents only: a row for each document and item, not kept."""
+    found = decontam.contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.withColumn("kept", F.lit(False))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_repeated_strings(documents(spark, sf_dir))
