@@ -3,7 +3,8 @@
 Sums of floating-point cents depend on the order in which partitions are merged, so a re-run after a lost
 executor can change the last digit. Columns that carry two decimals are therefore summed as whole hundredths in
 BIGINT, and averages and rates are rounded by integer division. BIGINT accumulators stay inside whole-stage
-code generation and cost the same as DOUBLE ones; overflow raises under ANSI mode instead of wrapping.
+code generation and cost the same as DOUBLE ones. Nothing is clamped: a value that has no such number (too large, NaN,
+infinite) fails the job, and a sum that overflows raises under ANSI mode.
 """
 
 from __future__ import annotations
@@ -11,25 +12,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this magnitude a double times 1e6 is still an exact-enough integer (< 2**53).
-_FAST_LIMIT = 1.0e9
+# BIGINT ends here.
+_LIMIT = 2.0**63
+
+
+def _loud(value: Column, size: Column, limit: float) -> Column:
+    """``value``, or a failed job if ``size`` reaches the limit; NaN compares above every limit. NULL stays NULL."""
+    problem = F.concat(F.lit("no exact number for the value "), size.cast("string"))
+    return F.when(size >= limit, F.raise_error(problem)).otherwise(value)
+
+
+def as_decimal(value: Column) -> Column:
+    """The decimal text of a double, rounded half up to six decimals; NaN, infinity and 1e18 or more fail the job."""
+    return _loud(value, F.abs(value), 1.0e18).cast("decimal(24,6)")
 
 
 def round_half_up(value: Column, places: int) -> Column:
     """Round a double half away from zero on its first six decimals, and return a double.
 
-    Equals ``CAST(ROUND(CAST(value AS DECIMAL(24,6)), places) AS DOUBLE)``. The common range is computed with
-    long arithmetic, which is several times cheaper than building a decimal per row; the rest takes the decimal
-    route.
+    Equals ``CAST(ROUND(CAST(value AS DECIMAL(24,6)), places) AS DOUBLE)`` for every value: the decimal text of the
+    double is rounded half up to six decimals, then to ``places``. NULL stays NULL; NaN, infinity and values of 1e18
+    or more fail the job.
     """
     if not 0 <= places <= 5:
         raise ValueError("places must be between 0 and 5")
-    size = F.abs(value)
-    micros = F.floor(size * 1.0e6 + 0.5)
-    steps = F.floor((micros + 5 * 10 ** (5 - places)) / float(10 ** (6 - places)))
-    fast = F.when(value < 0, -steps).otherwise(steps) / float(10**places)
-    exact = F.round(value.cast("decimal(24,6)"), places).cast("double")
-    return F.when(size < _FAST_LIMIT, fast).otherwise(exact)
+    return F.round(as_decimal(value), places).cast("double")
 
 
 def half_up_div(numerator: Column, denominator: Column) -> Column:
@@ -56,7 +63,8 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
 
 def scaled(value: Column, places: int = 2) -> Column:
     """The BIGINT number of 10**-places units in a double that already carries at most ``places`` decimals."""
-    return F.floor(value * float(10**places) + 0.5)
+    units = value * float(10**places) + 0.5
+    return _loud(F.floor(units), F.abs(units), _LIMIT)
 
 
 def exact_sum(value: Column, places: int = 2) -> Column:
@@ -79,8 +87,11 @@ def mean_of_counts(value: Column, places: int = 2) -> Column:
 
 
 def micro_sum(value: Column) -> Column:
-    """Order-independent sum, at six decimals, of raw doubles that were never rounded; as a double."""
-    return F.sum(scaled(value, 6).cast("decimal(19,0)")).cast("double") / F.lit(1.0e6)
+    """Order-independent sum, at six decimals, of raw doubles that were never rounded; as a double.
+
+    Decimals carry amounts of any size below 1e18, which hundredths of millionths in BIGINT would not.
+    """
+    return F.sum(as_decimal(value)).cast("double")
 
 
 def count_where(condition: Column) -> Column:

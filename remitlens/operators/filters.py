@@ -23,7 +23,12 @@ def keep_choice(df: DataFrame, column: str, choice: str) -> DataFrame:
 
 def filter_options(df: DataFrame, column: str) -> DataFrame:
     """The distinct known values of a column, sorted."""
-    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+    return distinct_options(df, column).orderBy(column)
+
+
+def distinct_options(df: DataFrame, column: str) -> DataFrame:
+    """The distinct known values of a column."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct()
 
 
 def search_all_columns(df: DataFrame, pattern: str) -> DataFrame:

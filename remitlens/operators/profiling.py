@@ -31,13 +31,14 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def box_statistics(df: DataFrame, group: str, column: str) -> DataFrame:
+def box_statistics(df: DataFrame, group: str, column: str, places: int = 4) -> DataFrame:
     """Quartiles by linear interpolation, extremes and 1.5 IQR fences per group.
 
-    Values are counted first, so the percentile works on distinct values with frequencies: its state is bounded by
-    the number of distinct values of the column, not by the number of rows.
+    Values are rounded to ``places`` decimals and counted first, so the percentile works on distinct values with
+    frequencies: its state is bounded by the range of the column in such steps, not by the number of rows.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(group, column).agg(F.count(F.lit(1)).alias("n"))
+    rounded = round_half_up(F.col(column).cast("double"), places).alias(column)
+    counted = df.where(F.col(column).isNotNull()).select(group, rounded).groupBy(group, column).agg(F.count(F.lit(1)).alias("n"))
     quartiles = F.percentile(F.col(column), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
     stats = counted.groupBy(group).agg(
         F.sum("n").alias("rows"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.functions.numeric import count_where
@@ -53,6 +53,12 @@ def non_empty_check(tables: Mapping[str, DataFrame | None], layers: Mapping[str,
     return stacked(parts).select("layer", "table_name", "rows", status.alias("status"))
 
 
+def catalog_tables(spark: SparkSession, database: str, expected: Sequence[str]) -> dict[str, DataFrame | None]:
+    """The expected tables that a database lists; those it lacks are None."""
+    listed = {table.name for table in spark.catalog.listTables(database)}
+    return {name: spark.table(f"{database}.{name}") if name in listed else None for name in expected}
+
+
 def minimum_rows(tables: Mapping[str, DataFrame], minimum: Mapping[str, int]) -> DataFrame:
     parts = [
         row_count(name, df).withColumn("minimum", F.lit(minimum[name]).cast("bigint")) for name, df in tables.items()

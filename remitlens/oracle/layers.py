@@ -124,7 +124,7 @@ STAGING = {
 
 
 def _flags(column: str, pairs: list[tuple[str, str]]) -> str:
-    return ",\n          ".join(f"{where(f'{column} = {chr(39)}{value}{chr(39)}')} AS {name}" for value, name in pairs)
+    return ",\n          ".join(f"{where(f"{column} = '{value}'")} AS {name}" for value, name in pairs)
 
 
 FACTS = {

@@ -90,6 +90,34 @@ REQUIRED_FIELDS = [
     ("raw_payments", "transaction_id"),
     ("raw_payments", "user_id"),
 ]
+# The columns of the marts, without the time of the last refresh.
+MART_COLUMNS = {
+    "mart_fraud_prevention": (
+        "user_id total_calls failed_calls call_failure_rate_pct avg_quality_score avg_delivery_rate_pct poor_quality_calls "
+        "total_transfers total_transfer_usd avg_transfer_usd fraud_transfers fraud_rate_pct very_large_transfers "
+        "support_tickets fraud_tickets avg_satisfaction_score total_fraud_signals fraud_risk_level"
+    ).split(),
+    "mart_customer_360": (
+        "user_id total_calls total_transfers total_payments total_support_tickets total_activity_events total_revenue "
+        "total_transfer_volume_usd latest_subscription_plan call_quality_score call_failure_rate_pct "
+        "support_satisfaction_score avg_ticket_resolution_hours fraud_risk_level payment_failure_rate_pct "
+        "customer_health_score customer_segment churn_risk"
+    ).split(),
+    "mart_revenue_analytics": (
+        "user_id latest_subscription_plan total_payments total_revenue avg_revenue_per_txn successful_payments "
+        "failed_payments payment_failure_rate_pct transfer_volume_usd revenue_per_call revenue_per_transfer estimated_ltv"
+    ).split(),
+    "mart_network_quality": (
+        "dimension total_calls connected_calls dropped_calls connection_success_rate_pct avg_call_duration_sec "
+        "avg_mos_score avg_delivery_rate_pct excellent_calls good_calls fair_calls poor_calls sla_quality_met_pct "
+        "sla_connection_met_pct calls_no_connection calls_very_short calls_short calls_medium calls_long"
+    ).split(),
+    "mart_corridor_analytics": (
+        "sender_country receiver_country corridor total_transfers unique_senders total_volume_usd avg_transfer_usd "
+        "max_transfer_usd fraud_count fraud_rate_pct micro_transfers small_transfers medium_transfers large_transfers "
+        "very_large_transfers corridor_risk"
+    ).split(),
+}
 RAW_WIDTHS = {"raw_tickets": 11, "raw_cdrs": 7, "raw_transfers": 6, "raw_payments": 5}
 RAW_COLUMNS = {
     "raw_tickets": list(TICKET_TYPES),
@@ -129,8 +157,9 @@ def layer_of(name: str) -> str:
 
 
 def null_share(source: str) -> str:
-    nulls = " + ".join(f'COUNT(*) FILTER (WHERE "{c}" IS NULL)' for c in RAW_COLUMNS[source])
-    width = RAW_WIDTHS[source]
+    columns = RAW_COLUMNS[source] if source in RAW_COLUMNS else MART_COLUMNS[source]
+    nulls = " + ".join(f'COUNT(*) FILTER (WHERE "{c}" IS NULL)' for c in columns)
+    width = len(columns) if source in MART_COLUMNS else RAW_WIDTHS[source]
     return f"""SELECT '{source}' AS source, COUNT(*) AS rows, CAST({width} AS BIGINT) AS columns,
       {rate(nulls, f"(COUNT(*) * {width})")} AS null_pct FROM {source}"""
 
@@ -168,6 +197,20 @@ def _bodies() -> dict[str, str]:
                 CASE WHEN rows > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM ({count_row(name)})"""
                 for name in LAYERS
             ]
+            + ["SELECT 'MART' AS layer, 'mart_not_built' AS table_name, CAST(NULL AS BIGINT) AS rows, 'MISSING' AS status"]
+        ),
+        "load_csv_raw": "SELECT * FROM raw_payments",
+        "load_json_raw": "SELECT * FROM raw_cdrs UNION ALL SELECT * FROM raw_cdrs",
+        "dq_landing_files": union_all(
+            [
+                f"""SELECT '{prefix}' AS prefix, COUNT(*) AS records,
+                CASE WHEN COUNT(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status, COUNT(*) > 0 AS has_files FROM {table}"""
+                for prefix, table in (
+                    ("stream/cdrs", "raw_cdrs"),
+                    ("stream/transfers", "raw_transfers"),
+                    ("batch/payments", "raw_payments"),
+                )
+            ]
         ),
         "sink_overwrite": "SELECT * FROM fct_telecom_calls",
         "sink_append": "SELECT * FROM raw_tickets UNION ALL SELECT * FROM raw_tickets",
@@ -323,7 +366,7 @@ def _bodies() -> dict[str, str]:
               MAX(customer_health_score) AS highest, QUANTILE_CONT(customer_health_score, 0.25) AS q1,
               QUANTILE_CONT(customer_health_score, 0.5) AS median, QUANTILE_CONT(customer_health_score, 0.75) AS q3
               FROM mart_customer_360 GROUP BY churn_risk)""",
-        "profile_nulls": union_all([null_share(name) for name in RAW]),
+        "profile_nulls": union_all([null_share(name) for name in (*RAW, *MART_COLUMNS)]),
         "distinct_users": union_all(
             [f"SELECT '{name}' AS source, COUNT(DISTINCT user_id) AS users FROM {name}" for name in RAW]
         ),
@@ -466,7 +509,17 @@ def _bodies() -> dict[str, str]:
             CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / CAST(2 * COUNT(*) AS DOUBLE) AS class_weight
             FROM (SELECT CAST({ELEVATED} AS INTEGER) AS is_fraud FROM mart_fraud_prevention WHERE {bucket} < 70)
             GROUP BY is_fraud""",
+        "ml_confusion": f"""SELECT CAST({ELEVATED} AS INTEGER) AS is_fraud, COUNT(*) AS rows FROM mart_fraud_prevention
+            WHERE {bucket} >= 70 GROUP BY 1""",
+        "ml_persist": f"SELECT user_id, TRUE AS same_prediction FROM mart_fraud_prevention WHERE {bucket} >= 70",
+        "ml_feature_importance": union_all(
+            [f"SELECT '{name}' AS feature, TRUE AS is_share, TRUE AS sums_to_one" for name in ML_NUMBERS]
+        ),
     }
+    checks = "TRUE AS in_range, TRUE AS best_has_top_f1, TRUE AS top_f1_reached"
+    classifiers = ("Random Forest", "Gradient Boosting", "Logistic Regression")
+    for name in ("ml_metrics", "ml_metrics_without_label_features"):
+        found[name] = union_all([f"SELECT '{model}' AS model, {checks}" for model in classifiers])
     return found
 
 

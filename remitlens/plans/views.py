@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,8 @@ VIEWS = {
 }
 
 
-def register_views(spark: SparkSession, tables) -> None:
-    """Make the four views queryable by name in ``spark.sql``; ``tables`` maps mart names to DataFrames."""
-    for name, (build, mart) in VIEWS.items():
+def register_views(spark: SparkSession, tables, names: Iterable[str] = tuple(VIEWS)) -> None:
+    """Make views queryable by name in ``spark.sql``; ``tables`` maps mart names to DataFrames."""
+    for name in names:
+        build, mart = VIEWS[name]
         build(tables[mart]).createOrReplaceTempView(name)

@@ -27,8 +27,27 @@ BASE_SETTINGS = {
 }
 
 
-# On a cluster AQE starts from many shuffle partitions and merges them up to the advisory size.
-CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000"}
+# Results, state and memory depend on these; they are applied to sessions built elsewhere too.
+NEEDED_SETTINGS = (
+    "spark.sql.session.timeZone",
+    "spark.sql.ansi.enabled",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.dataFrameQueryContext.enabled",
+    "spark.sql.streaming.stateStore.providerClass",
+)
+ADVISORY_BYTES = 128 << 20
+
+
+def initial_partitions(input_bytes: int, advisory_bytes: int = ADVISORY_BYTES) -> int:
+    """Shuffle partitions to start from. AQE merges small ones and never adds any, so the largest shuffle, taken to be as
+    large as the input, must start with partitions of the advisory size; never fewer than Spark's default of 200."""
+    return max(200, -(-input_bytes // advisory_bytes))
+
+
+def is_local(master: str) -> bool:
+    """One machine and one process. A local cluster has several processes and is not local in this sense."""
+    return master == "local" or master.startswith("local[")
 
 
 def build_session(
@@ -36,15 +55,24 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """A session for a cluster (master taken from spark-submit) or, when ``master`` is given, a local one."""
+    """A session for a cluster (master taken from spark-submit) or, when ``master`` is given, a local one.
+
+    On a cluster the shuffles are sized from ``input_bytes``, the bytes of the largest input, or from
+    ``shuffle_partitions``; one of them is required.
+    """
     builder = SparkSession.builder.appName(app_name)
     settings = dict(BASE_SETTINGS)
     if master is not None:
         builder = builder.master(master)
         settings["spark.ui.enabled"] = "false"
     else:
-        settings.update(CLUSTER_SETTINGS)
+        if input_bytes is None and shuffle_partitions is None:
+            raise ValueError("a cluster session needs input_bytes or shuffle_partitions to size its shuffles")
+        if input_bytes is not None:
+            number = str(initial_partitions(input_bytes))
+            settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = number
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})
@@ -54,8 +82,8 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> None:
-    """Apply the settings that results or planning time depend on to a session built elsewhere."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.dataFrameQueryContext.enabled"):
+    """Apply the settings that results, state or planning time depend on to a session built elsewhere."""
+    for key in NEEDED_SETTINGS:
         spark.conf.set(key, BASE_SETTINGS[key])
 
 
@@ -70,7 +98,7 @@ def shared_root(spark: SparkSession) -> str:
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     fallback = os.path.join(tempfile.gettempdir(), "remitlens-scratch")
     os.makedirs(fallback, exist_ok=True)
@@ -82,6 +110,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of a finished query; only what lies below the shared folder can be named."""
+    if not path.startswith(f"{shared_root(spark)}/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settle(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared folder and continue from the written table.
 

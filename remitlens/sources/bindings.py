@@ -145,7 +145,7 @@ def raw_tickets(tables: SourceTables) -> DataFrame:
             opened.alias("created_at"),
             (opened + F.make_dt_interval(mins=minutes)).alias("updated_at"),
             category.alias("issue_category"),
-            F.substring("o_orderpriority", 3, 1000).alias("priority"),
+            F.expr("substring(o_orderpriority, 3)").alias("priority"),
             status.alias("ticket_status"),
             _null_every("o_orderkey", 19, 1 + order % 5).alias("satisfaction_score"),
             _id("AB", "o_orderkey").alias("_airbyte_ab_id"),

@@ -24,6 +24,12 @@ def replace_table(
     return df.sparkSession.table(table)
 
 
+def append_table(df: DataFrame, table: str) -> DataFrame:
+    """Add rows to a catalog table, which is created if it does not exist, and return it."""
+    df.write.mode("append").format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def replace_files(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a parquet folder; loading the same input again gives the same content."""
     df.write.mode("overwrite").parquet(path)

@@ -6,6 +6,8 @@ repeats a batch instead of losing it, and every sink here is idempotent under su
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from remitlens.plans.facts import fct_telecom_calls
 from remitlens.plans.staging import stg_cdrs
-from remitlens.sources.readers import JSON_TIMES, as_json
+from remitlens.schemas import CDRS
+from remitlens.session import settle
+from remitlens.sources.readers import JSON_TIMES, as_json, enforce_required, read_optional
 
 
 def publish_messages(df: DataFrame, topic: str) -> None:
@@ -21,22 +25,36 @@ def publish_messages(df: DataFrame, topic: str) -> None:
     df.select(as_json(df).alias("value")).write.mode("append").text(topic)
 
 
-def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of the JSON documents in the ``value`` column; an unreadable message fails the query.
+def parse_messages(messages: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """Rows of the JSON documents in the ``value`` column; an unreadable message, or one without a required field,
+    fails the query.
 
     The column layout is that of a broker source, so consuming from a broker only changes the reader.
     """
     options = {"mode": "FAILFAST", **JSON_TIMES}
     document = F.from_json(F.col("value").cast("string"), schema, options)
-    return messages.select(document.alias("m")).select("m.*")
+    return enforce_required(messages.select(document.alias("m")).select("m.*"), required)
 
 
 def consume_topic(
-    spark: SparkSession, topic: str, schema: T.StructType, max_files_per_batch: int = 1000
+    spark: SparkSession,
+    topic: str | None,
+    schema: T.StructType,
+    max_files_per_batch: int = 1000,
+    *,
+    source: str = "text",
+    options: Mapping[str, str] | None = None,
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """A topic folder as a stream of parsed rows, in micro-batches of bounded size."""
-    lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch).load(topic)
-    return parse_messages(lines, schema)
+    """A topic as a stream of parsed rows, in micro-batches of bounded size.
+
+    By default a topic is a folder of text files. Any other streaming source with a ``value`` column is named by
+    ``source`` with its ``options`` (a broker takes its address, its topic and its own limit per batch there, and no path).
+    """
+    reader = spark.readStream.format(source).options(**(options or {}))
+    if source == "text":
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return parse_messages(reader.load(topic) if topic else reader.load(), schema, required)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,9 +136,46 @@ def call_facts_stream(raw_calls: DataFrame, out: str, checkpoint: str) -> Stream
     return land_batches(fct_telecom_calls(stg_cdrs(raw_calls)), out, checkpoint, mode="update")
 
 
-def latest_call_facts(spark: SparkSession, out: str) -> DataFrame:
-    """The newest written state per user."""
-    history = spark.read.parquet(out)
+def call_facts_schema(spark: SparkSession) -> T.StructType:
+    """Columns of the call facts, as Spark derives them from the raw schema."""
+    fields = fct_telecom_calls(stg_cdrs(spark.createDataFrame([], CDRS))).schema.fields
+    return T.StructType([T.StructField(field.name, field.dataType, True) for field in fields])
+
+
+def _newest(history: DataFrame) -> DataFrame:
     columns = [name for name in history.columns if name not in ("user_id", "batch_id")]
-    newest = F.max_by(F.struct(*columns), F.col("batch_id")).alias("newest")
+    newest = F.max_by(F.struct(*columns, "batch_id"), F.col("batch_id")).alias("newest")
     return history.groupBy("user_id").agg(newest).select("user_id", "newest.*")
+
+
+def call_facts_history(spark: SparkSession, out: str) -> DataFrame:
+    """All written states since the last compaction, with their batch; empty if nothing was written yet."""
+    schema = T.StructType([*call_facts_schema(spark).fields, T.StructField("batch_id", T.LongType())])
+    return read_optional(spark, schema, lambda: spark.read.schema(schema).parquet(out))
+
+
+def latest_call_facts(spark: SparkSession, out: str) -> DataFrame:
+    """The newest written state per user."""
+    return _newest(call_facts_history(spark, out)).drop("batch_id")
+
+
+def compact_call_facts(spark: SparkSession, out: str) -> int | None:
+    """Fold all batches into the folder of the newest one, and return its number; None if there is nothing to fold.
+
+    Run between streams. The folded rows replace the newest batch under its own number before the older folders
+    go, so a compaction that is cut short, or repeated, changes no result: a row of an older batch never beats
+    the state of its user in the newest folder.
+    """
+    history = call_facts_history(spark, out)
+    last = history.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    staged = settle(spark, _newest(history).drop("batch_id"), "compacted-facts")
+    staged.write.mode("overwrite").parquet(f"{out}/batch_id={last}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < last:
+            files.delete(status.getPath(), True)
+    return last

@@ -242,3 +242,27 @@ def test_severity_and_label(spark):
     values = ["CRITICAL_RISK", "HIGH_RISK_FRAUD", "MEDIUM_RISK", "LOW_RISK", "SAFE", None]
     assert column(spark, "string", values, C.severity_rank) == [0, 1, 2, 3, 99, 99]
     assert column(spark, "string", values, C.is_fraud_label) == [1, 1, 0, 0, 0, 0]
+
+
+@pytest.mark.parametrize(
+    ("value", "places", "expected"),
+    [(2.0049995, 2, 2.01), (2.00499949, 2, 2.0), (-2.0049995, 2, -2.01), (1e13 + 0.5, 0, 1e13 + 1), (1e17, 2, 1e17), (None, 2, None)],
+)
+def test_one_rounding_rule_for_values_of_any_size(spark, value, places, expected):
+    assert column(spark, "double", [value], lambda v: N.round_half_up(v, places)) == [expected]
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), float("-inf"), 1e19])
+@pytest.mark.parametrize("function", [lambda v: N.round_half_up(v, 2), N.scaled, lambda v: N.scaled(v, 6), N.as_decimal])
+def test_values_without_an_exact_number_fail_the_job(spark, value, function):
+    with pytest.raises(Exception, match="no exact number for the value"):
+        column(spark, "double", [value], function)
+
+
+def test_large_amounts_are_summed_in_full(spark):
+    values = spark.createDataFrame([(1e13,), (5.0,), (1e17,), (None,)], "v double")
+    assert values.agg(N.micro_sum(F.col("v"))).first()[0] == 1e17 + 1e13 + 5
+    with pytest.raises(Exception, match="no exact number"):
+        values.agg(N.exact_sum(F.col("v"))).collect()
+    small = values.where("v < 1e15")
+    assert small.agg(N.exact_sum(F.col("v"))).first()[0] == 1e13 + 5

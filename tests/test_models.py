@@ -220,3 +220,44 @@ def test_call_facts_of_one_hot_user(spark):
     )
     hot = fct_telecom_calls(staging.stg_cdrs(raw)).where("user_id = 'HOT'").first()
     assert hot.total_calls == 3000 and hot.failed_calls == 750 and hot.call_failure_rate_pct == 25.0
+
+
+def test_transfer_fact_takes_two_shuffles_and_no_expansion(spark, sf_dir):
+    from remitlens.plans import facts
+    from remitlens.schemas import TRANSFERS
+    from remitlens.plans.staging import stg_transfers
+
+    rows = [(f"t{i}", "hot" if i % 3 else f"u{i % 7}", None if i % 11 == 0 else f"c{i % 5}", f"d{i % 4}", 10.0 + i, i % 2 == 0) for i in range(400)]
+    staged = stg_transfers(spark.createDataFrame(rows, TRANSFERS))
+    fact = facts.fct_financial_transfers(staged)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning") == 2
+    hot = fact.where("user_id = 'USR-HOT' or user_id = 'hot'").first()
+    mine = [r for r in rows if r[1] == "hot"]
+    assert hot["total_transfers"] == len(mine)
+    assert hot["distinct_sender_countries"] == len({r[2] for r in mine} - {None})
+    assert hot["distinct_receiver_countries"] == len({r[3] for r in mine})
+    assert hot["distinct_corridors"] == len({(r[2], r[3]) for r in mine if r[2]})
+
+
+def test_sessions_are_sized_from_their_input():
+    from remitlens import session
+
+    assert session.initial_partitions(0) == 200
+    assert session.initial_partitions(100 * 10**12) == 745_059
+    assert session.is_local("local[8]") and session.is_local("local")
+    assert not session.is_local("local-cluster[2,1,1024]") and not session.is_local("yarn")
+    with pytest.raises(ValueError, match="input_bytes"):
+        session.build_session()
+
+
+def test_scratch_is_removed_by_its_owner_only(spark):
+    from remitlens import session
+
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.remove_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="shared folder"):
+        session.remove_scratch(spark, "/elsewhere/data")

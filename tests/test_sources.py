@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from remitlens import schemas
 from remitlens.operators import filters, profiling
-from remitlens.sources import readers, writers
+from remitlens.sources import loads, readers, writers
 
 TICKET = {
     "ticket_id": "ZD-1",
@@ -128,3 +128,30 @@ def test_box_statistics(spark):
     df = spark.createDataFrame([("g", float(v)) for v in (1, 2, 3, 4, 100)], "g string, v double")
     row = profiling.box_statistics(df, "g", "v").first()
     assert tuple(row) == ("g", 5, 1.0, 2.0, 3.0, 4.0, 100.0, -1.0, 7.0)
+
+
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_load_enforces_required_fields_and_keeps_the_table(spark, tmp_path, kind):
+    schema = schemas.PAYMENTS
+    good = [("t1", "u1", "gold", 1.5, "paid"), ("t2", "u2", None, None, None)]
+    table = f"loaded_{kind}"
+    for name, rows in (("good", good), ("bad", [*good, ("t3", None, "gold", 2.0, "paid")])):
+        df, path = spark.createDataFrame(rows, schema), str(tmp_path / name)
+        df.write.json(path) if kind == "json" else writers.export_csv(df, path)
+    files = loads.read_files(spark, str(tmp_path / "good"), schema, kind=kind, multi_line=False)
+    required = schemas.REQUIRED["raw_payments"]
+    assert loads.load(files, table, required) == 2
+    assert loads.load(files, table, required) == 2
+    assert loads.load(files, table, required, loads.APPEND) == 4
+    broken = loads.read_files(spark, str(tmp_path / "bad"), schema, kind=kind, multi_line=False)
+    with pytest.raises(Exception, match="required field user_id is missing"):
+        loads.load(broken, table, required, loads.APPEND)
+    assert spark.table(table).count() == 4
+    with pytest.raises(ValueError, match="mode"):
+        loads.load(files, table, required, "merge")
+
+
+def test_box_statistics_round_before_counting(spark):
+    df = spark.createDataFrame([("a", i + j / 1e6) for i in range(4) for j in range(50)], "g string, v double")
+    counted = profiling.box_statistics(df, "g", "v", places=1).first()
+    assert (counted["lowest"], counted["median"], counted["highest"], counted["rows"]) == (0.0, 1.5, 3.0, 200)

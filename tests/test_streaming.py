@@ -96,3 +96,29 @@ def test_a_flood_of_one_message(spark, calls, tmp_path):
     stream = ingest.consume_topic(spark, topic, schemas.CDRS, max_files_per_batch=2)
     ingest.drain(ingest.land_parquet(ingest.drop_redelivered(stream, "call_id", spread=4), out, checkpoint))
     assert equal(spark.read.schema(schemas.CDRS).parquet(out), calls)
+
+
+def test_compaction_changes_no_result_and_may_be_repeated(spark, tmp_path):
+    out = str(tmp_path / "facts")
+    assert ingest.compact_call_facts(spark, out) is None
+    assert ingest.latest_call_facts(spark, out).count() == 0
+    schema = ingest.call_facts_schema(spark)
+    blank = {f.name: None for f in schema.fields}
+    for batch, users in enumerate([("a", "b"), ("b", "c"), ("c",)]):
+        rows = [{**blank, "user_id": u, "total_calls": 10 * batch + 1} for u in users]
+        spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema).write.parquet(f"{out}/batch_id={batch}")
+    expected = {"a": 1, "b": 11, "c": 21}
+    for _ in range(3):
+        assert {r.user_id: r.total_calls for r in ingest.latest_call_facts(spark, out).collect()} == expected
+        assert ingest.compact_call_facts(spark, out) == 2
+    assert [p.name for p in (tmp_path / "facts").glob("batch_id=*")] == ["batch_id=2"]
+
+
+def test_messages_without_a_key_fail_and_sources_are_free(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    spark.createDataFrame([('{"call_id": "c1"}',)], "value string").write.text(topic)
+    stream = ingest.consume_topic(spark, topic, schemas.CDRS, required=schemas.REQUIRED["raw_cdrs"])
+    with pytest.raises(Exception, match="required field user_id is missing"):
+        ingest.drain(ingest.land_parquet(stream, str(tmp_path / "out"), str(tmp_path / "check")))
+    rate = ingest.consume_topic(spark, None, schemas.CDRS, source="rate", options={"rowsPerSecond": "1"})
+    assert rate.isStreaming and rate.columns == schemas.CDRS.names
