@@ -4,6 +4,7 @@ A token file is a table with one row per segment, written by Spark (so it works
 leaves no second copy). A segment holds a bounded number of ids of consecutive documents:
 
     part, segment   its place; segments in this order hold ascending doc_ids
+    inside    ids of the part before the segment
     first_key, last_key   the smallest and largest doc_id (the directory of keyed access)
     n_docs, n_ids
     keys      doc_id, occurrence (0 unless a doc_id repeats) and a NULL mark, as little-endian 64-bit integers
@@ -36,11 +37,16 @@ from remitlens.session import scratch_path
 SEGMENT_IDS = 1 << 20
 #: Bytes of text of a part of the file.
 PART_BYTES = 16 << 20
-#: Encoded words that a worker remembers.
+#: Encoded words that a worker remembers, and that the library gets as one text.
 REMEMBERED = 600_000
+JOINED = 2_000
+#: Fixed value: how byte-level vocabularies write the space.
+SPACE_LETTER = "\u0120"
+#: The bases of so many parts of a file are sent to every worker; beyond that they are joined.
+BASES_SENT = 1_000_000
 
 FILE_SCHEMA = (
-    "part int, segment int, first_key long, last_key long, n_docs long, n_ids long, "
+    "part int, segment int, inside long, first_key long, last_key long, n_docs long, n_ids long, "
     "keys binary, hash binary, slots binary, width int, payload binary"
 )
 
@@ -50,6 +56,8 @@ class WordEncoder:
 
     The tokenizer cuts a text before any space that follows a character other than white space, whatever comes next, so
     a text may be cut there and its parts encoded apart. Texts with a space after white space go to the library whole.
+    New words go to the library many at a time, as one text; the ids of a word are those from one that starts with
+    the space to the next.
     """
 
     def __init__(self, path: str):
@@ -57,31 +65,52 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_LETTER) for i in range(size)])
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.unsafe: set[str] = set()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encode(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype) for e in encode(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Add words, none of which ends in white space, to the known ones."""
+        pieces = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for own, ids in zip(pieces, self._library([" " + " ".join(own) for own in pieces]), strict=True):
+            edges = np.append(np.flatnonzero(self.starts[ids]), len(ids)) * self.dtype.itemsize
+            data, edges = ids.tobytes(), edges.tolist()
+            if len(edges) != len(own) + 1:
+                raise ValueError("the tokenizer does not start each word with its space")
+            self.known.update(zip(own, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known, self.unsafe = {}, set()
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        known, older, unsafe = self.known, self.older, self.unsafe
         split = [text.split(" ") for text in texts]
         seen: set[str] = set()
         for parts in split:
             seen.update(parts)
-        fresh = [word for word in seen if word not in self.known]
-        self.known.update(zip(fresh, self._library([" " + word for word in fresh]), strict=True))
-        self.unsafe.update(word for word in fresh if not word or word[-1].isspace())
+        fresh = []
+        for word in seen.difference(known):
+            if word in older:
+                known[word] = older[word]
+            elif not word or word[-1].isspace():
+                unsafe.add(word)
+            else:
+                fresh.append(word)
+        self._learn(fresh)
         heads = self._library([parts[0] for parts in split])
-        out, known, unsafe = [], self.known, self.unsafe
+        out = []
         for text, parts, head in zip(texts, split, heads, strict=True):
             if unsafe.isdisjoint(parts):
-                out.append(head + b"".join([known[word] for word in parts[1:]]))
+                out.append(head.tobytes() + b"".join([known[word] for word in parts[1:]]))
             else:
-                out.append(self._library([text])[0])
+                out.append(self._library([text])[0].tobytes())
+        unsafe.clear()
         return out
 
 
@@ -104,7 +133,7 @@ def _fingerprints(hashed: np.ndarray) -> np.ndarray:
     return mix(hashed[:, 0] ^ mix(hashed[:, 1], 7), 8)
 
 
-def _segment(part: int, number: int, keys: list[tuple], ids: list[bytes], width: int) -> dict:
+def _segment(part: int, number: int, inside: int, keys: list[tuple], ids: list[bytes], width: int) -> dict:
     array = np.array(keys, "<i8").reshape(-1, 3)
     lengths = np.array([len(x) // width for x in ids], np.int64)
     offsets = np.cumsum(lengths) - lengths
@@ -116,6 +145,7 @@ def _segment(part: int, number: int, keys: list[tuple], ids: list[bytes], width:
     return {
         "part": part,
         "segment": number,
+        "inside": inside,
         "first_key": named[0] if named else None,
         "last_key": named[-1] if named else None,
         "n_docs": len(keys),
@@ -143,7 +173,12 @@ def _writer(path: str, end_id: int, segment_ids: int) -> Callable:
         end = np.array([end_id], encoder.dtype).tobytes()
         keys: list[tuple] = []
         ids: list[bytes] = []
-        held, last = 0, None
+        held = inside = 0
+        last = None
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([_segment(part, number, inside, keys, ids, width)], schema)
+
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             encoded = encoder.encode(texts)
@@ -155,10 +190,10 @@ def _writer(path: str, end_id: int, segment_ids: int) -> Callable:
                 ids.append(found + end)
                 held, last = held + len(ids[-1]) // width, key
                 if held >= segment_ids:
-                    yield pa.RecordBatch.from_pylist([_segment(part, number, keys, ids, width)], schema)
-                    keys, ids, held, number = [], [], 0, number + 1
+                    yield full()
+                    keys, ids, held, number, inside = [], [], 0, number + 1, inside + held
         if keys:
-            yield pa.RecordBatch.from_pylist([_segment(part, number, keys, ids, width)], schema)
+            yield full()
 
     return segments
 
@@ -214,15 +249,14 @@ def locate(segment: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document in the file."""
     file = _read_file(spark, path)
-    # One row per part of the file, then one per segment of a part: both far fewer than documents.
-    per_part = file.groupBy("part").agg(F.sum("n_ids").alias("ids"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = per_part.select("part", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    counts = file.select("part", "segment", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("inside"))
-    starts = counts.join(bases, "part").select("part", "segment", (F.col("before") + F.col("inside")).alias("base"))
-    # A row of starts per segment of a megabyte or so: bounded by bytes / segment size.
-    rows = file.select("part", "segment", "keys", "hash", "slots", "width", "payload").join(starts, ["part", "segment"])
+    # One row per part of the file: bytes of text / PART_BYTES.
+    per_part = file.groupBy(F.col("part").alias("of")).agg(F.sum("n_ids").alias("ids"))
+    earlier = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_part.select("of", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("before"))
+    if per_part.count() <= BASES_SENT:
+        bases = F.broadcast(bases)
+    rows = file.join(bases, F.col("part") == F.col("of")).withColumn("base", F.col("before") + F.col("inside"))
+    rows = rows.select("base", "keys", "hash", "slots", "width", "payload")
     return rows.mapInArrow(_read_documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
