@@ -42,6 +42,9 @@ HEADLINE = (
     "dedup_transfers",
     "dq_orphan_users",
     "stream_fct_calls",
+    "stream_dedup",
+    "dq_row_counts",
+    "ml_metrics",
 )
 RUNS = 3
 TICKET_COLUMNS = ("total_tickets", "fraud_tickets", "avg_satisfaction_score")
