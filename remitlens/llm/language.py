@@ -209,11 +209,13 @@ class Labeller:
             return
         size = len(fresh)
         buckets, owners = _grams(fresh)
-        scores = np.stack(
-            [np.bincount(owners, probs[buckets], size) for probs in self.model.log_probs], axis=1
-        ) + self.barred[_scripts(fresh)]
-        known = self.model.candidates.any(axis=1)[_scripts(fresh)]
-        scores = np.where(known[:, None], scores - scores.max(axis=1, keepdims=True), 0)
+        scripts = _scripts(fresh)
+        scores = np.zeros((size, len(self.model.languages)))
+        for language, probs in enumerate(self.model.log_probs):
+            scores[:, language] = np.bincount(owners, probs[buckets], size)
+        scores += self.barred[scripts]
+        known = self.model.candidates.any(axis=1)[scripts]
+        scores = np.where(known[:, None], scores - scores.max(axis=1, keepdims=True, initial=-np.inf), 0)
         self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + size), strict=True))
         self.scores = np.concatenate([self.scores, scores.astype(np.float32)])
         alphabetic = np.array([word.isalpha() for word in fresh])

@@ -67,11 +67,13 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     places = [~same(F.col(f"min_{c}"), F.col(f"max_{c}")) for c in ("doc_id", "th", "line")]
     # A NULL doc_id beside others is a second place too.
     spread = spread.where(places[0] | places[1] | places[2] | ((F.col("named") > 0) & (F.col("named") < F.col("all"))))
-    joined = windows.join(spread.select("f"), F.col("fingerprint") == F.col("f"))
+    # Written, so that both sides of the join are plain shuffles, of which Spark splits a hot line's partition.
+    spread = settle(spread.select("f"), "fingerprints")
+    joined = windows.join(spread, F.col("fingerprint") == F.col("f"))
     place = F.struct("doc_id", "th", "first")
     joined = settle(joined.select("lines", place.alias("place")), "line-matches")
     first = joined.groupBy(F.col("lines").alias("same_lines")).agg(F.min("place").alias("earliest"), F.max("place").alias("latest"))
-    first = first.where(~same(F.col("earliest"), F.col("latest"))).select("same_lines", "earliest")
+    first = settle(first.where(~same(F.col("earliest"), F.col("latest"))).select("same_lines", "earliest"), "first-lines")
     repeats = joined.join(first, F.col("lines") == F.col("same_lines")).where(~same(F.col("place"), F.col("earliest")))
     repeats = repeats.select("place.*").distinct()
     in_text = Window.partitionBy("doc_id", "th").orderBy("first")

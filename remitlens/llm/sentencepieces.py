@@ -3,8 +3,8 @@
 The lattice of a text has an edge for every piece of the vocabulary and, for characters outside it, a chain of byte pieces.
 Forward Viterbi gives the best score of every prefix; those scores are the exact heuristic of an A-star search from the
 end, which finishes segmentations in falling order of their scores. No piece crosses from another character to
-a blank, so a text falls apart into units (blanks and the word behind them) and its N best segmentations are the N best
-combinations of its units' ones. Workers remember units.
+a blank, or between signs and letters, so a text falls apart into units (blanks and the word or the signs behind them) and
+its N best segmentations are the N best combinations of its units' ones. Workers remember units.
 
 The text gets a blank in front, as the model's normaliser does, and keeps all its blanks; decoding takes that blank off. A
 character that the vocabulary writes blanks with is encoded by its bytes, so every text comes back unchanged. NULL and
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,8 @@ BLANK_MARK = "▁"
 NEVER_MERGED = -1e6
 #: A byte piece scores this much below the worst other piece.
 BYTE_PENALTY = 10.0
-REMEMBERED = 250_000
+REMEMBERED = 400_000
+_LETTER = re.compile(r"[^\W\d_]")
 
 ENCODED = (
     "doc_id long, ids binary, n_pieces long, score double, text_sha256 string, "
@@ -68,25 +70,42 @@ class PieceModel:
         self.longest = max(map(len, self.pieces))
         if any(re.search("[^ ] ", piece) for piece in self.pieces):
             raise ValueError("a piece crosses from a character to a blank")
-        parts = [" *[^ \n]+", " +", "\n"] if not any("\n" in p and len(p) > 1 for p in self.pieces) else [" *[^ ]+", " +"]
-        self.units = re.compile("|".join(parts))
+        self.units = self._unit_pattern()
         self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.older: dict[str, tuple[bytes, float, float]] = {}
+
+    def _unit_pattern(self) -> re.Pattern:
+        """Units end where no piece of this vocabulary goes on: before blanks, and between letters and other characters.
+
+        Characters that stand next to a letter in some piece count as letters, and so on.
+        """
+        pairs = [p for piece in self.pieces for p in zip(piece, piece[1:], strict=False) if p[0] != " "]
+        used = {c for piece in self.pieces for c in piece}
+        like_letters = {c for c in used if c.isalpha()}
+        while more := {c for a, b in pairs if (a in like_letters) != (b in like_letters) for c in (a, b)} - like_letters:
+            like_letters |= more
+        added = "".join(sorted(c for c in like_letters if not _LETTER.match(c)))
+        barred = "".join(sorted(c for c in used - like_letters if _LETTER.match(c)))
+        letter = r"[^\W\d_" + re.escape(barred) + "]"
+        letter = f"(?:{letter}|[{re.escape(added)}])" if added else letter
+        return re.compile(f" *{letter}+| *(?:(?!{letter})[^ ])+| +")
 
     def lattice(self, unit: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
         """Edges (start, score, ids) by their end, and the best score of every prefix."""
-        size, get = len(unit), self.pieces.get
+        size, get, longest = len(unit), self.pieces.get, self.longest
         ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         best = [0.0] + [-1e30] * size
         for i in range(size):
             base = best[i]
             single = False
-            for j in range(i + 1, min(size, i + self.longest) + 1):
+            for j in range(i + 1, min(size, i + longest) + 1):
                 found = get(unit[i:j])
                 if found is not None:
                     single |= j == i + 1
-                    ending[j].append((i, found[1], found[:1]))
-                    if base + found[1] > best[j]:
-                        best[j] = base + found[1]
+                    score = found[1]
+                    ending[j].append((i, score, (found[0],)))
+                    if base + score > best[j]:
+                        best[j] = base + score
             if not single:
                 codes = unit[i].encode()
                 score = self.byte_score * len(codes)
@@ -97,11 +116,13 @@ class PieceModel:
     def nbest(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations of a unit: (score, ids)."""
         ending, best = self.lattice(unit)
-        # Heap entries: -(best prefix + suffix), order of entry, position, suffix score, suffix as a linked list.
+        push, pop = heapq.heappush, heapq.heappop
+        # Heap entries: -(best prefix + suffix), order of entry, position, suffix score, suffix as a linked list. Of equal
+        # entries the latest goes first, so that one of many tied segmentations is finished before others are begun.
         heap = [(-best[-1], 0, len(unit), 0.0, None)]
-        entered, out = 1, []
+        entered, out = 0, []
         while heap and len(out) < n:
-            _, _, at, behind, suffix = heapq.heappop(heap)
+            _, _, at, behind, suffix = pop(heap)
             if at == 0:
                 ids: list[int] = []
                 while suffix is not None:
@@ -109,30 +130,31 @@ class PieceModel:
                     suffix = suffix[1]
                 out.append((behind, tuple(ids)))
                 continue
-            for start, score, piece in ending[at]:
-                heapq.heappush(heap, (-(best[start] + score + behind), entered, start, score + behind, (piece, suffix)))
-                entered += 1
+            for start, score, piece in reversed(ending[at]):
+                entered -= 1
+                total = score + behind
+                push(heap, (-(best[start] + total), entered, start, total, (piece, suffix)))
         return out
 
     def unit(self, text: str) -> tuple[bytes, float, float]:
         """Best ids, their score, and by how much the second segmentation is worse (infinite if there is none)."""
         found = self.nbest(text, 2)
         gap = found[0][0] - found[1][0] if len(found) > 1 else float("inf")
-        return np.array(found[0][1], ID).tobytes(), found[0][0], gap
+        return struct.pack(f"<{len(found[0][1])}I", *found[0][1]), found[0][0], gap
 
     def encode(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of a text: (score, ids)."""
         if not text:
             return []
         units = self.units.findall(" " + text)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         rows = []
         for unit in units:
             row = known.get(unit)
             if row is None:
-                row = known[unit] = self.unit(unit)
+                row = known[unit] = older.get(unit) or self.unit(unit)
             rows.append(row)
         score = sum([row[1] for row in rows])
         out = [(score, b"".join([row[0] for row in rows]))]
