@@ -4,9 +4,11 @@ A document is the set of its word shingles. Each hash function gives two signatu
 hash of the set, so half as many functions are evaluated; bands of signature values deal documents into buckets.
 Equal sets are one node from the start. In a bucket every node meets the bucket's most popular node
 (the one that shares most buckets overall), not every other one; links are confirmed on the full sets, and components are
-formed. As long as much is left, what did not join the leader gets a new leader. At last every node outside its leader's
-component meets all nodes of the bucket in other components, so every pair of a bucket is either confirmed, refuted or
-already connected. No bucket is cut and none is gathered in one task.
+formed. What this leaves undecided are nodes outside
+the component of a bucket's leader: they meet the members of other components in their bucket, but only pairs that can
+be similar enough leave that join. An odd sketch decides it without error: a set flips one of 2048 bits for each shingle,
+so two sketches never differ in more bits than the sets in shingles. No bucket is cut and none is gathered in
+one task.
 
 NULL and empty texts and texts without words have no set, link with nothing and are kept. A text with fewer words than
 a shingle is one shingle. Rows with equal texts are one component; rows that share a doc_id are told apart
@@ -18,10 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.llm.common import grouped, mix, random_table, same, settle, texts_of
@@ -48,11 +52,13 @@ DEFAULT = Likeness()
 #: (1 - 0.85**5)**25 = 4e-7
 STRICT = Likeness(words=3, least=85, bands=25, rows=5)
 
-#: Rounds with new leaders before the rest is compared in full.
-LEADER_ROUNDS = 4
-_KEPT_SETS = 64
+#: Bytes of sets that a worker remembers while it confirms pairs.
+KEPT_BYTES = 32 << 20
 
-NODE = "doc_id long, n_shingles long, d1 long, d2 long, buckets array<long>"
+#: 64-bit words of an odd sketch.
+SKETCH_WORDS = 32
+
+NODE = "doc_id long, n_shingles long, d1 long, d2 long, buckets array<long>, sketch array<long>"
 
 
 def _digest(distinct: np.ndarray) -> tuple[int, int]:
@@ -60,6 +66,18 @@ def _digest(distinct: np.ndarray) -> tuple[int, int]:
         return tuple(int(mix(distinct, s).sum(dtype=np.uint64).view(np.int64)) for s in (31, 32))
 
 
+def _odd_sketch(distinct: np.ndarray) -> np.ndarray:
+    bits = (mix(distinct, 33) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64)
+    odd = np.bincount(bits, minlength=64 * SKETCH_WORDS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    """The rows of a matrix of integers as lists."""
+    offsets = np.arange(rows.shape[0] + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).reshape(-1)))
+
+
 def _signature_batches(like: Likeness) -> Callable:
     functions = -(-like.bands * like.rows // 2)
 
@@ -86,21 +104,22 @@ def _signature_batches(like: Likeness) -> Callable:
                     for r in range(like.rows):
                         buckets = mix(buckets + values[:, :, r], r)
                 sizes, digests = [], []
-                for first, number in zip(firsts.tolist(), numbers.tolist(), strict=True):
+                sketches = np.empty((b - a, SKETCH_WORDS), np.int64)
+                for i, (first, number) in enumerate(zip(firsts.tolist(), numbers.tolist(), strict=True)):
                     distinct = np.unique(hashes[first : first + number])
                     sizes.append(len(distinct))
                     digests.append(_digest(distinct))
-                flat = pa.array(np.ascontiguousarray(buckets).view(np.int64).reshape(-1))
-                offsets = pa.array(np.arange(b - a + 1, dtype=np.int32) * like.bands)
+                    sketches[i] = _odd_sketch(distinct)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids[a:b],
                         pa.array(sizes, pa.int64()),
                         pa.array([d[0] for d in digests], pa.int64()),
                         pa.array([d[1] for d in digests], pa.int64()),
-                        pa.ListArray.from_arrays(offsets, flat),
+                        _lists(np.ascontiguousarray(buckets).view(np.int64)),
+                        _lists(sketches),
                     ],
-                    names=["doc_id", "n_shingles", "d1", "d2", "buckets"],
+                    names=["doc_id", "n_shingles", "d1", "d2", "buckets", "sketch"],
                 )
 
     return signed
@@ -111,13 +130,17 @@ def _confirm_batches(like: Likeness) -> Callable:
 
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[tuple[int, int], np.ndarray | None] = {}
+        held = 0
 
         def set_of(node: int, text: bytes, digest: tuple[int, int]) -> np.ndarray | None:
             key = (node, hash(text))
+            nonlocal held
             if key not in kept:
-                if len(kept) >= _KEPT_SETS:
+                if held > KEPT_BYTES:
                     kept.clear()
+                    held = 0
                 found = np.unique(shingle_hashes([text], like.words)[0])
+                held += found.nbytes + 200
                 kept[key] = found if _digest(found) == digest else None
             return kept[key]
 
@@ -172,18 +195,20 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame) -> DataFrame:
-    """The most popular node of each bucket, with its size and component."""
-    best = F.max(F.struct("popularity", (-F.col("node")).alias("order"), "n", "root")).alias("lead")
+    """The most popular node of each bucket, with its size."""
+    best = F.max(F.struct("popularity", (-F.col("node")).alias("order"), "n")).alias("lead")
     return members.groupBy(F.col("bucket").alias("of")).agg(best).select(
-        "of",
-        (-F.col("lead.order")).alias("leader"),
-        F.col("lead.n").alias("leader_n"),
-        F.col("lead.root").alias("leader_root"),
+        "of", (-F.col("lead.order")).alias("leader"), F.col("lead.n").alias("leader_n")
     )
 
 
-def _led(members: DataFrame) -> DataFrame:
-    return members.join(_leaders(members), F.col("bucket") == F.col("of")).drop("of")
+def _may_be_similar(nx: str, ny: str, px: str, py: str, like: Likeness) -> Column:
+    """False only if the odd sketches prove that two sets differ in too many shingles."""
+    both = F.col(nx) + F.col(ny)
+    # Two sets of together ``both`` shingles have at least this many in common, rounded up.
+    common = F.call_function("div", both * like.least + like.of + like.least - 1, F.lit(like.of + like.least))
+    bits = [F.bit_count(F.get(px, F.lit(i)).bitwiseXOR(F.get(py, F.lit(i)))) for i in range(SKETCH_WORDS)]
+    return reduce(add, bits) <= both - common * 2
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
@@ -196,41 +221,50 @@ def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
     nodes = full.join(classes.select("node"), F.col("row") == F.col("node"))
     dealt = nodes.select(F.explode("buckets").alias("bucket"), "node", F.col("n_shingles").alias("n"))
     shared = dealt.groupBy(F.col("bucket").alias("of")).agg(F.count("*").alias("c")).where("c > 1")
+    # Written, so that both sides of the join are plain shuffles, of which Spark splits a hot bucket's partition.
+    shared = settle(shared.select("of", "c"), "buckets")
     shared = dealt.join(shared, F.col("bucket") == F.col("of")).drop("of")
     popularity = shared.groupBy(F.col("node").alias("key")).agg(F.sum("c").alias("popularity"))
     members = shared.join(popularity, F.col("node") == F.col("key")).select("bucket", "node", "n", "popularity")
     members = settle(members, "members")
     wanted = members.select(F.col("node").alias("w")).distinct()
+    sketches = nodes.join(wanted, F.col("node") == F.col("w")).select("node", F.col("n_shingles").alias("n"), "sketch")
+    sketches = settle(sketches, "sketches")
     texts = _texts_of_nodes(docs, nodes.join(wanted, F.col("node") == F.col("w")).select("node", "doc_id", "d1", "d2"))
 
-    # Stars first: each round costs as many pairs as there are members outside their leader's component.
-    led = _led(members.withColumn("root", F.col("node")))
+    # Stars: one pair for each member of a bucket.
+    led = members.join(_leaders(members), F.col("bucket") == F.col("of")).drop("of")
     pairs = led.select(
         F.col("leader").alias("x"), F.col("node").alias("y"), F.col("leader_n").alias("nx"), F.col("n").alias("ny")
     )
-    links = _links(_sized(pairs, like), texts, like)
-    for _ in range(LEADER_ROUNDS):
-        roots = components(links)
-        labelled = settle(_led(_labelled(members, roots)), "labelled")
-        outside = labelled.where("root <> leader_root")
-        per_bucket = labelled.groupBy("bucket").agg(
-            F.count("*").alias("all"), F.count(F.when(F.col("root") != F.col("leader_root"), 1)).alias("out")
-        ).where("out > 0")
-        left, budget = per_bucket.agg(F.sum(F.col("out") * F.col("all")), F.sum("all")).first()
-        if not left or left <= 16 * budget:
-            break
-        renewed = _led(outside.select("bucket", "node", "n", "popularity", "root"))
-        pairs = renewed.select(
-            F.col("leader").alias("x"), F.col("node").alias("y"), F.col("leader_n").alias("nx"), F.col("n").alias("ny")
+    of_x, of_y = (sketches.select(*[F.col(c).alias(f"{c}_{e}") for c in ("node", "n", "sketch")]) for e in "ab")
+    stars = _sized(pairs, like).join(of_x, F.col("a") == F.col("node_a")).join(of_y, F.col("b") == F.col("node_b"))
+    stars = stars.where(_may_be_similar("n_a", "n_b", "sketch_a", "sketch_b", like)).select("a", "b")
+    links = _links(stars, texts, like)
+    roots = settle(components(links), "roots")
+
+    # The rest: members of buckets in which a node is outside its leader's component.
+    of_leader = roots.select(F.col("node").alias("l"), F.col("root").alias("leader_root"))
+    labelled = _labelled(led, roots).join(of_leader, F.col("leader") == F.col("l"), "left")
+    labelled = labelled.withColumn("outside", F.col("root") != F.coalesce("leader_root", "leader"))
+    labelled = settle(labelled.select("bucket", "node", "root", "outside"), "labelled")
+    mixed = labelled.where("outside").select(F.col("bucket").alias("of")).distinct()
+    rest = labelled.join(mixed, F.col("bucket") == F.col("of")).drop("of")
+    rest = settle(rest.join(sketches.withColumnRenamed("node", "k"), F.col("node") == F.col("k")).drop("k"), "undecided")
+    if not rest.isEmpty():
+        names = ("node", "n", "root", "sketch")
+        left = rest.where("outside").select("bucket", *[F.col(c).alias(f"{c}_x") for c in names])
+        right = rest.select("bucket", *[F.col(c).alias(f"{c}_y") for c in names])
+        small, large = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
+        pairs = left.join(right, "bucket").where(
+            (F.col("root_x") != F.col("root_y"))
+            & (small * like.of >= large * like.least)
+            & _may_be_similar("n_x", "n_y", "sketch_x", "sketch_y", like)
         )
-        links = links.unionByName(_links(_sized(pairs, like), texts, like))
-    if left:
-        # Exact rest: nodes outside the leader's component meet every other component of their bucket.
-        out = outside.select("bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        others = labelled.select("bucket", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-        pairs = out.join(others, "bucket").where("rx <> ry")
-        more = _links(_sized(pairs, like), texts, like)
-        roots = components(links.unionByName(more))
+        pairs = pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+        more = _links(pairs, texts, like)
+        if not more.isEmpty():
+            roots = components(links.unionByName(more))
     of_class = _labelled(classes, roots)
     placed = sets.join(of_class.withColumnsRenamed({"d1": "e1", "d2": "e2"}), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left")
     placed = placed.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root")))
@@ -247,4 +281,5 @@ def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
     """The rows of ``docs``, all columns, without those whose component keeps another doc_id."""
     gone = near_duplicates(docs, like).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    rows = docs.select(F.struct("*").alias("doc"))
+    return rows.join(gone, F.col("doc.doc_id").cast("long") == F.col("gone_id"), "left_anti").select("doc.*")
