@@ -122,6 +122,8 @@ def repeated_chunks(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     rank = F.coalesce("doc_id", F.lit(-(1 << 63)))
     places = chunks.where(~F.col("again")).groupBy(F.col("d1").alias("e1"), F.col("d2").alias("e2"))
     shared = places.agg(F.min(rank).alias("first"), F.max(rank).alias("last")).where("first < last")
+    # Written, so that both sides of the join are plain shuffles, of which Spark splits a hot digest's partition.
+    shared = settle(shared.select("e1", "e2", "first"), "chunks-shared")
     joined = chunks.join(shared, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left")
     repeated = F.col("again") | F.coalesce(rank > F.col("first"), F.lit(False))
     found = joined.where(repeated).select("doc_id", "key", F.struct("start", "stop").alias("span"))
