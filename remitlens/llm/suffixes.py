@@ -329,7 +329,7 @@ def _mixed_offsets(docs: DataFrame, mixed: DataFrame, length: int, group: int) -
     """a, n, least and most offset of a repeated string, for the neighbourhoods that have any."""
     place = F.min(F.struct("doc_id", "key", "low", "high", "at")).alias("place")
     distinct = settle(mixed.groupBy("a", "n").agg(F.count("*").alias("copies"), place), "neighbourhoods")
-    sizes = distinct.groupBy(F.col("a").alias("of")).agg(F.count("*").alias("size"))
+    sizes = settle(distinct.groupBy(F.col("a").alias("of")).agg(F.count("*").alias("size")), "anchor-sizes")
     sized = distinct.join(sizes, F.col("a") == F.col("of"))
     wanted = F.struct("a", "n", "copies", "size", "place.low", "place.high", "place.at")
     by_text = sized.groupBy(F.col("place.doc_id").alias("want_id"), F.col("place.key").alias("want_key")).agg(
@@ -364,9 +364,11 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
         F.count("*").alias("c"), F.min("n").alias("n1"), F.max("n").alias("n2")
     )
     spread = spread.where("c > 1").select("of", (F.col("n1") == F.col("n2")).alias("whole"))
+    # Written, so that both sides of the join are plain shuffles, of which Spark splits a hot anchor's partition.
+    spread = settle(spread, "anchors-shared")
     marks = settle(anchors.join(spread, F.col("a") == F.col("of")).drop("of"), "anchors")
     mixed = marks.where(~F.col("whole"))
-    offsets = _mixed_offsets(docs, mixed, length, group).withColumnsRenamed({"a": "b", "n": "m"})
+    offsets = settle(_mixed_offsets(docs, mixed, length, group), "offsets").withColumnsRenamed({"a": "b", "n": "m"})
     partly = mixed.join(offsets, (F.col("a") == F.col("b")) & (F.col("n") == F.col("m")))
     spans = partly.select(
         "doc_id", "key", (F.col("at") - F.col("most")).alias("start"), (F.col("at") - F.col("least") + length).alias("stop")
