@@ -70,10 +70,21 @@ class PieceModel:
         self.longest = max(map(len, self.pieces))
         if any(re.search("[^ ] ", piece) for piece in self.pieces):
             raise ValueError("a piece crosses from a character to a blank")
+        self.root: dict = {}
         self.units = self._unit_pattern()
         self.known: dict[str, tuple[bytes, float, float]] = {}
         self.older: dict[str, tuple[bytes, float, float]] = {}
 
+    def _tree(self) -> dict:
+        """The pieces as a tree of letters; a node that ends a piece has its score and id under the empty letter."""
+        root: dict = {}
+        for text, (i, score) in self.pieces.items():
+            node = root
+            for letter in text:
+                node = node.setdefault(letter, {})
+            node[""] = (score, (i,))
+        return root
+
     def _unit_pattern(self) -> re.Pattern:
         """Units end where no piece of this vocabulary goes on: before blanks, and between letters and other characters.
 
@@ -92,21 +103,25 @@ class PieceModel:
 
     def lattice(self, unit: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
         """Edges (start, score, ids) by their end, and the best score of every prefix."""
-        size, get, longest = len(unit), self.pieces.get, self.longest
+        if not self.root:
+            self.root = self._tree()
+        size, longest, root = len(unit), self.longest, self.root
         ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         best = [0.0] + [-1e30] * size
         for i in range(size):
-            base = best[i]
-            single = False
-            for j in range(i + 1, min(size, i + longest) + 1):
-                found = get(unit[i:j])
+            base, node, j = best[i], root, i
+            for letter in unit[i : i + longest]:
+                node = node.get(letter)
+                if node is None:
+                    break
+                j += 1
+                found = node.get("")
                 if found is not None:
-                    single |= j == i + 1
-                    score = found[1]
-                    ending[j].append((i, score, (found[0],)))
+                    score = found[0]
+                    ending[j].append((i, score, found[1]))
                     if base + score > best[j]:
                         best[j] = base + score
-            if not single:
+            if unit[i] not in self.pieces:
                 codes = unit[i].encode()
                 score = self.byte_score * len(codes)
                 ending[i + 1].append((i, score, tuple(self.byte_ids[c] for c in codes)))
@@ -186,6 +201,10 @@ class PieceModel:
             result.append((score - cost, b"".join(own)))
         return result
 
+    def forget(self) -> None:
+        """Free what was remembered; a worker calls it after each task, as it may serve other operators next."""
+        self.known, self.older = {}, {}
+
     def decode(self, ids: bytes) -> bytes:
         text = b"".join(map(self.output.__getitem__, np.frombuffer(ids, ID).tolist()))
         return text[1:] if text[:1] == b" " else text
@@ -200,25 +219,33 @@ def _model(path: str) -> PieceModel:
     return _MODELS[path]
 
 
+def _segmented(
+    batches: Iterator[pa.RecordBatch], path: str, n_best: int
+) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes, list[tuple[float, bytes]]]]]]:
+    """Each batch with the bytes and the n best segmentations of its texts."""
+    pieces = _model(path)
+    try:
+        for batch in batches:
+            texts = [data or b"" for data in texts_of(batch)]
+            yield batch, [(data, pieces.encode(data.decode(), n_best) or [(0.0, b"")]) for data in texts]
+    finally:
+        pieces.forget()
+
+
 def encode(docs: DataFrame, model: str, n_best: int = 2) -> DataFrame:
     """doc_id, ids (little-endian 32-bit) of the best segmentation, their number and score, the text's digest, and the
     following segmentations. ``model``: the vocabulary file, on every machine."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _model(model)
         kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.binary())]))
-        for batch in batches:
-            rows = []
-            for data in texts_of(batch):
-                found = pieces.encode((data or b"").decode(), n_best) or [(0.0, b"")]
-                rows.append((hashlib.sha256(data or b"").hexdigest(), found))
+        for batch, rows in _segmented(batches, model, n_best):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array([f[0][1] for _, f in rows], pa.binary()),
                     pa.array([len(f[0][1]) // ID.itemsize for _, f in rows], pa.int64()),
                     pa.array([f[0][0] for _, f in rows], pa.float64()),
-                    pa.array([digest for digest, _ in rows], pa.string()),
+                    pa.array([hashlib.sha256(data).hexdigest() for data, _ in rows], pa.string()),
                     pa.array([[{"score": s, "ids": i} for s, i in f[1:]] for _, f in rows], kind),
                 ],
                 names=["doc_id", "ids", "n_pieces", "score", "text_sha256", "alternatives"],
@@ -249,20 +276,24 @@ def checked(docs: DataFrame, model: str, n_best: int = 2) -> DataFrame:
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _model(model)
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            names = ["doc_id", "n_pieces", "score", "second_score", "text_sha256"]
+        for batch, rows in _segmented(batches, model, n_best):
+            ids = [f[0][1] for _, f in rows]
+            texts = [hashlib.sha256(data).hexdigest() for data, _ in rows]
+            decoded = [hashlib.sha256(pieces.decode(x)).hexdigest() for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c) for c in names],
+                    batch.column("doc_id").cast(pa.int64()),
+                    pa.array([len(x) // ID.itemsize for x in ids], pa.int64()),
+                    pa.array([f[0][0] for _, f in rows], pa.float64()),
+                    pa.array([f[1][0] if len(f) > 1 else None for _, f in rows], pa.float64()),
+                    pa.array(texts, pa.string()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(pieces.decode(x)).hexdigest() for x in ids], pa.string()),
+                    pa.array(decoded, pa.string()),
                 ],
-                names=[*names, "ids_sha256", "decoded_sha256"],
+                names=["doc_id", "n_pieces", "score", "second_score", "text_sha256", "ids_sha256", "decoded_sha256"],
             )
 
-    rows = encode(docs, model, n_best).withColumn("second_score", F.get("alternatives", F.lit(0))["score"])
-    rows = rows.drop("alternatives").mapInArrow(
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         compared,
         "doc_id long, n_pieces long, score double, second_score double, text_sha256 string, "
         "ids_sha256 string, decoded_sha256 string",
