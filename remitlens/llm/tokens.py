@@ -55,7 +55,8 @@ class WordEncoder:
     """Encodes texts with a byte-level BPE of the tokenizers library, each distinct word once.
 
     The tokenizer cuts a text before any space that follows a character other than white space, whatever comes next, so
-    a text may be cut there and its parts encoded apart. Texts with a space after white space go to the library whole.
+    a text may be cut there and its parts encoded apart. Texts with a space after white space, and texts that contain an
+    added token such as <|endoftext|>, go to the library whole.
     New words go to the library many at a time, as one text; the ids of a word are those from one that starts with
     the space to the next.
     """
@@ -64,13 +65,23 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_LETTER) for i in range(size)])
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.unsafe: set[str] = set()
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if token.content]
+        # An added token may also be looked for in the normalized text.
+        self.normalize = self.tokenizer.normalizer.normalize_str if self.added and self.tokenizer.normalizer else None
+
+    def _has_added(self, text: str) -> bool:
+        if any(content in text for content in self.added):
+            return True
+        if self.normalize is None:
+            return False
+        normal = self.normalize(text)
+        return any(content in normal or self.normalize(content) in normal for content in self.added)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -90,10 +101,12 @@ class WordEncoder:
         if len(self.known) > REMEMBERED // 2:
             self.older, self.known = self.known, {}
         known, older, unsafe = self.known, self.older, self.unsafe
-        split = [text.split(" ") for text in texts]
+        # A text with an added token is one part; a single part goes to the library as it is.
+        split = [[text] if self._has_added(text) else text.split(" ") for text in texts]
         seen: set[str] = set()
         for parts in split:
-            seen.update(parts)
+            if len(parts) > 1:
+                seen.update(parts)
         fresh = []
         for word in seen.difference(known):
             if word in older:

@@ -237,6 +237,23 @@ def test_words_encode_like_the_text(texts):
     assert encoder.encode(texts) == expected
 
 
+def test_added_tokens_encode_as_the_tokenizer_does(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"x{mark}y z", f"{mark} {mark}{mark}\n{mark}", f"end {mark}", f"a  {mark}  b", "<|endoftext |> a", "a b"]
+    fresh = Tokenizer.from_file(BPE)
+    expected = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [64, 220, 50256, 275]
+    encoder = tokens.WordEncoder(BPE)
+    for _ in range(2):  # new words, known words
+        assert [np.frombuffer(ids, encoder.dtype).tolist() for ids in encoder.encode(texts)] == expected
+    path = str(tmp_path / "marked")
+    tokens.write_token_files(frame(spark, list(enumerate(texts))), path, BPE)
+    facts = [(i, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())) for i, ids in enumerate(expected)]
+    assert got(tokens.read_documents(spark, path), "doc_id", "n_tokens", "ids_crc32") == want(facts)
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(2).integers(0, 1 << 63, (5000, 2), dtype=np.uint64)
     index = PerfectHash.from_bytes(PerfectHash.build(keys).to_bytes())
