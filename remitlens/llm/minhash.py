@@ -12,8 +12,9 @@ one task.
 
 NULL and empty texts and texts without words have no set, link with nothing and are kept. A text with fewer words than
 a shingle is one shingle. Rows with equal texts are one component; rows that share a doc_id are told apart
-by an internal row number, and a NULL doc_id is never the smallest of a component that has another. Other columns are
-ignored; an empty table gives an empty result.
+by a row number that is written beside them, and a NULL doc_id is never the smallest of a component that has another.
+``drop_near_duplicates`` keeps one row of a component, the first by doc_id (NULL last) and row number. Other columns are
+ignored (or kept, in ``drop_near_duplicates``); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ KEPT_BYTES = 32 << 20
 #: 64-bit words of an odd sketch.
 SKETCH_WORDS = 32
 
-NODE = "doc_id long, n_shingles long, d1 long, d2 long, buckets array<long>, sketch array<long>"
+NODE = "row long, doc_id long, n_shingles long, d1 long, d2 long, buckets array<long>, sketch array<long>"
 
 
 def _digest(distinct: np.ndarray) -> tuple[int, int]:
@@ -86,7 +87,7 @@ def _signature_batches(like: Likeness) -> Callable:
         seeds = random_table(like.bands, 43)
         for batch in batches:
             texts = [t or b"" for t in texts_of(batch)]
-            ids = batch.column("doc_id").cast(pa.int64())
+            rows, ids = batch.column("row"), batch.column("doc_id")
             for a, b in grouped(texts):
                 hashes, numbers = shingle_hashes(texts[a:b], like.words)
                 firsts = np.cumsum(numbers) - numbers
@@ -112,6 +113,7 @@ def _signature_batches(like: Likeness) -> Callable:
                     sketches[i] = _odd_sketch(distinct)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        rows[a:b],
                         ids[a:b],
                         pa.array(sizes, pa.int64()),
                         pa.array([d[0] for d in digests], pa.int64()),
@@ -119,7 +121,7 @@ def _signature_batches(like: Likeness) -> Callable:
                         _lists(np.ascontiguousarray(buckets).view(np.int64)),
                         _lists(sketches),
                     ],
-                    names=["doc_id", "n_shingles", "d1", "d2", "buckets", "sketch"],
+                    names=["row", "doc_id", "n_shingles", "d1", "d2", "buckets", "sketch"],
                 )
 
     return signed
@@ -163,10 +165,15 @@ def _confirm_batches(like: Likeness) -> Callable:
     return confirmed
 
 
-def _texts_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, d1, d2, n and text; a doc_id that repeats brings all its texts, told apart by their digests later."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("of_id"), F.col("text").cast("string"))
-    return settle(texts.join(nodes, same(F.col("of_id"), F.col("doc_id"))).select("node", "d1", "d2", "text"), "texts")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as the column ``doc``, with a row number; written, so that the numbers stay."""
+    return settle(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+
+
+def _texts_of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, d1, d2 and the text of the row that is the node."""
+    texts = rows.select(F.col("row").alias("of_row"), "text")
+    return settle(texts.join(nodes, F.col("of_row") == F.col("node")).select("node", "d1", "d2", "text"), "texts")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
@@ -211,11 +218,10 @@ def _may_be_similar(nx: str, ny: str, px: str, py: str, like: Likeness) -> Colum
     return reduce(add, bits) <= both - common * 2
 
 
-def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of the component) and kept, for every row."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = rows.mapInArrow(_signature_batches(like), NODE).withColumn("row", F.monotonically_increasing_id())
-    sets = settle(sets, "sets")
+def _placed(numbered: DataFrame, like: Likeness) -> DataFrame:
+    """row, doc_id, n_shingles and root (of the component; NULL without shingles) of every row."""
+    rows = numbered.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    sets = settle(rows.mapInArrow(_signature_batches(like), NODE), "sets")
     full = sets.where("n_shingles > 0")
     classes = settle(full.groupBy("d1", "d2").agg(F.min("row").alias("node")), "classes")
     nodes = full.join(classes.select("node"), F.col("row") == F.col("node"))
@@ -230,7 +236,7 @@ def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
     wanted = members.select(F.col("node").alias("w")).distinct()
     sketches = nodes.join(wanted, F.col("node") == F.col("w")).select("node", F.col("n_shingles").alias("n"), "sketch")
     sketches = settle(sketches, "sketches")
-    texts = _texts_of_nodes(docs, nodes.join(wanted, F.col("node") == F.col("w")).select("node", "doc_id", "d1", "d2"))
+    texts = _texts_of_nodes(rows, nodes.join(wanted, F.col("node") == F.col("w")).select("node", "d1", "d2"))
 
     # Stars: one pair for each member of a bucket.
     led = members.join(_leaders(members), F.col("bucket") == F.col("of")).drop("of")
@@ -268,7 +274,12 @@ def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
     of_class = _labelled(classes, roots)
     placed = sets.join(of_class.withColumnsRenamed({"d1": "e1", "d2": "e2"}), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left")
     placed = placed.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root")))
-    placed = placed.select("doc_id", "n_shingles", "root")
+    return placed.select("row", "doc_id", "n_shingles", "root")
+
+
+def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id of the component) and kept, for every row."""
+    placed = _placed(_numbered(docs.select("doc_id", "text")), like)
     least = placed.where("root is not null").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("least"))
     return placed.join(least, F.col("root") == F.col("of"), "left").select(
         "doc_id",
@@ -279,7 +290,10 @@ def near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, like: Likeness = DEFAULT) -> DataFrame:
-    """The rows of ``docs``, all columns, without those whose component keeps another doc_id."""
-    gone = near_duplicates(docs, like).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"))
-    return rows.join(gone, F.col("doc.doc_id").cast("long") == F.col("gone_id"), "left_anti").select("doc.*")
+    """The rows of ``docs``, all columns, one of each component; rows without shingles all stay."""
+    numbered = _numbered(docs)
+    placed = _placed(numbered, like).where("root is not null").select("row", "doc_id", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    first = placed.groupBy(F.col("root").alias("of")).agg(first).select("of", F.col("first.row").alias("stays"))
+    gone = placed.join(first, F.col("root") == F.col("of")).where(F.col("row") != F.col("stays"))
+    return numbered.join(gone.select(F.col("row").alias("gone")), F.col("row") == F.col("gone"), "left_anti").select("doc.*")

@@ -100,6 +100,18 @@ def test_near_duplicates(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in found.collect())
 
 
+def test_one_row_of_each_component_stays(spark):
+    """NULL and repeated ids: copies beside an id and among NULLs, two texts under one id, rows repeated in full."""
+    rng = random.Random(13)
+    a, b, c, d, e = (_phrase(rng, 100) for _ in range(5))
+    near = a.rsplit(" ", 1)[0] + " changed"
+    rows = [(None, a), (None, near), (3, near), (1, a), (0, b), (2, b), (2, c), (5, d), (5, d), (5, d), (None, e), (None, e)]
+    wordless = [(9, ""), (9, ""), (None, None)]
+    left = minhash.drop_near_duplicates(frame(spark, rows + wordless))
+    assert left.columns == ["doc_id", "text", *CLASHING]
+    assert got(left, "doc_id", "text") == want([(1, a), (0, b), (2, c), (5, d), (None, e), *wordless])
+
+
 def test_near_duplicates_without_leaders(spark, monkeypatch):
     """Copies of copies, none of them like all others, and the exact comparison of what leaders leave."""
     rng = random.Random(3)
