@@ -2,9 +2,9 @@
 
 Every line is hashed. Of any ``run`` consecutive lines the one with the least hash (the last of several) is the
 fingerprint, so two places with the same run of lines have the same fingerprint in it. Fingerprints found at a single
-place end there; the others' positions are joined, and around each of them the match is extended over the lines of
-every window that chose it. A window whose lines also start at an earlier place is a repeat; overlapping and touching
-repeats are one run, and the lines of such runs are deleted.
+place end there; every window of the others is grouped exactly by the hashes of its lines. Positions are not joined
+pairwise and no match is extended. A window whose lines also start at an earlier place is a repeat; overlapping and
+touching repeats are one run, and the lines of such runs are deleted.
 
 Places are ordered by doc_id (NULL first), then by text hash and line number. Lines are compared as they are, parted at line feeds. NULL
 texts are empty: one empty line. Texts with fewer lines than ``run`` stay as they are. Rows that share doc_id and text
