@@ -35,3 +35,81 @@ SELECT d.doc_id, len(ls) AS n_lines, coalesce(n_removed, 0) AS n_removed, coales
        sha256(coalesce(stay, '')) AS kept_sha256
 FROM d LEFT JOIN facts f ON d.doc_id = f.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+#: Unsigned CRC-32 of a column of ASCII text, from the table ``t`` of the polynomial's 256 remainders.
+_CRC_TABLE = """
+crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, b:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t)"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _to(state: int, sources: dict[int, int], edit: str) -> str:
+    """Costs and audits that reach a state from others by one kind of edit; ``sources``: cost by state."""
+    return ", ".join(f"{{'c': s{p}.c + {cost}, 'a': s{p}.a || '{edit}'}}" for p, cost in sources.items())
+
+
+ORACLE["op12_conversation_repair"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+         {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault
+  FROM conversations, crc_table),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body
+  FROM filled, unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS u(copy) WHERE fault <> 0),
+numbered AS (
+  SELECT *, row_number() OVER c AS i, substr(role, 1, 1) AS r, lag(substr(role, 1, 1)) OVER c AS before,
+         trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM hurt WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(body))),
+known AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, body ORDER BY i) > 1 AS seen FROM numbered),
+marked AS (
+  SELECT *, bare = '' AS is_blank, bare <> '' AND seen AS is_again,
+         bare <> '' AND NOT seen AND right(bare, 1) NOT IN ('.', '!', '?') AS is_cut FROM known),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (WHERE is_blank) AS blank, count(*) FILTER (WHERE is_again) AS duplicate,
+         count(*) FILTER (WHERE is_cut) AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': ''}} AS s0, {{'c': 1000000000, 'a': ''}} AS s1,
+         {{'c': 1000000000, 'a': ''}} AS s2, {{'c': 1000000000, 'a': ''}} AS s3 FROM facts
+  UNION ALL
+  SELECT g.conv_id, m.i,
+    {{'c': s0.c + 4, 'a': s0.a || 'D'}},
+    least({_to(1, {1: 4}, "D")}, CASE WHEN r = 's' AND NOT gone THEN {_to(1, {0: 0}, "K").replace("c + 0", "c + more")}
+      ELSE {{'c': 2000000000, 'a': ''}} END),
+    least({_to(2, {2: 4}, "D")}, CASE WHEN gone THEN {{'c': 2000000000, 'a': ''}} WHEN r = 'u'
+      THEN least({_to(2, {0: 0, 1: 0, 3: 0}, "K").replace("c + 0", "c + more")})
+      ELSE least({_to(2, {0: 3, 1: 3, 3: 3}, "R").replace("c + 3", "c + 3 + more")}) END),
+    least({_to(3, {3: 4}, "D")}, CASE WHEN gone THEN {{'c': 2000000000, 'a': ''}} WHEN r = 'a'
+      THEN {_to(3, {2: 0}, "K").replace("c + 0", "c + more")} ELSE {_to(3, {2: 3}, "R").replace("c + 3", "c + 3 + more")} END)
+  FROM (SELECT conv_id, i, s0, s1, least(s2, {_to(2, {0: 3, 1: 3, 3: 3}, "I")}) AS s2,
+               least(s3, {_to(3, {2: 3}, "I")}, {_to(3, {0: 6, 1: 6}, "II")}) AS s3 FROM steps) g
+  JOIN (SELECT *, is_blank OR is_again AS gone, CASE WHEN is_cut THEN 3 ELSE 0 END AS more FROM marked) m
+    ON g.conv_id IS NOT DISTINCT FROM m.conv_id AND m.i = g.i + 1),
+ends AS (
+  SELECT s.conv_id, least(s0, s3, {_to(3, {2: 3}, "I")}, {_to(3, {1: 6}, "II")}) AS best
+  FROM steps s JOIN facts f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.i = f.n),
+letters AS (
+  SELECT conv_id, k, substr(best.a, k, 1) AS edit, length(replace(substr(best.a, 1, k), 'I', '')) AS i
+  FROM ends, unnest(range(1, length(best.a) + 1)) AS u(k)),
+emitted AS (
+  SELECT l.conv_id, l.k, l.edit, m.role, m.body, count(*) FILTER (WHERE l.edit <> 'K' OR m.r <> 's') OVER p AS turns
+  FROM letters l LEFT JOIN marked m ON l.edit <> 'I' AND l.conv_id IS NOT DISTINCT FROM m.conv_id AND l.i = m.i
+  WHERE l.edit <> 'D' WINDOW p AS (PARTITION BY l.conv_id ORDER BY l.k)),
+lines AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN turns % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+    || CASE WHEN edit = 'I' THEN '' ELSE body END, chr(10) ORDER BY k) AS joined FROM emitted GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(joined, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts f ON o.conv_id IS NOT DISTINCT FROM f.conv_id LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN lines l ON o.conv_id IS NOT DISTINCT FROM l.conv_id
+"""

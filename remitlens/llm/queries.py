@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.llm import (
+    conversations,
     decontam,
     exact,
     language,
@@ -100,3 +101,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_suffix_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.cut_repeated_strings(documents(spark, sf_dir))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
