@@ -113,3 +113,40 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN facts f ON o.conv_id IS NOT DISTINCT FROM f.conv_id LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
 LEFT JOIN lines l ON o.conv_id IS NOT DISTINCT FROM l.conv_id
 """
+
+#: A run of period q has a multiple k * q in its first period, and the 2 q words from there on stand q words later again. Only those
+#: (q, k) are followed up; a run is then a maximal stretch of places whose word stands q places later again.
+ORACLE["op11_periodic_runs"] = rf"""
+WITH {_CRC_TABLE},
+split AS (
+  SELECT row_number() OVER () AS id, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sums AS (SELECT *, len(w) AS n, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM split, crc_table),
+places AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM sums),
+planned AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - a) // (3 + g % 8) END AS p FROM places),
+final AS MATERIALIZED (
+  SELECT id, doc_id, n, CASE WHEN p IS NULL THEN w ELSE list_transform(range(n), lambda i:
+    w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM planned),
+hits AS (
+  SELECT DISTINCT id, q FROM (
+    SELECT id, w, q, unnest(range(0, n - 3 * q + 1, q)) AS x FROM (SELECT id, w, n, unnest(range(1, n // 4 + 1)) AS q FROM final))
+  WHERE w[x + 1] = w[x + q + 1] AND w[x + 1] = w[x + 2 * q + 1] AND w[x + 1:x + 2 * q] = w[x + q + 1:x + 3 * q]),
+same AS (
+  SELECT id, q, i, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS island FROM (
+    SELECT f.id, q, w, unnest(range(0, n - q)) AS i FROM final f JOIN hits ON f.id = hits.id)
+  WHERE w[i + 1] = w[i + q + 1]),
+stretches AS (SELECT id, q, min(i) AS s, count(*) + q AS l FROM same GROUP BY id, q, island),
+runs AS (SELECT id, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY id, s, l),
+told AS (
+  SELECT id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+         first({{'s': s, 'l': l, 'q': q}} ORDER BY l DESC, s, q) AS best FROM runs GROUP BY id),
+gone AS (SELECT DISTINCT id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT x.id, string_agg(word, ' ' ORDER BY x.i) AS body
+  FROM (SELECT id, unnest(w) AS word, unnest(range(n)) AS i FROM final) x LEFT JOIN gone ON x.id = gone.id AND x.i = gone.i
+  WHERE gone.i IS NULL GROUP BY x.id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+       CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(body, '')) AS collapsed_sha256
+FROM final f LEFT JOIN told ON f.id = told.id LEFT JOIN kept ON f.id = kept.id
+"""

@@ -15,6 +15,7 @@ from remitlens.llm import (
     language,
     lines,
     minhash,
+    periods,
     sentencepieces,
     sharding,
     substrings,
@@ -106,3 +107,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_facts(periods.periodic_runs(periods.planted(documents(spark, sf_dir))))
