@@ -15,6 +15,7 @@ from remitlens.llm import (
     language,
     lines,
     minhash,
+    mixing,
     periods,
     sentencepieces,
     sharding,
@@ -112,3 +113,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_periodic_runs")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_facts(periods.periodic_runs(periods.planted(documents(spark, sf_dir))))
+
+
+@query("op13_source_mixing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
