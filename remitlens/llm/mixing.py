@@ -13,7 +13,7 @@ a balanced sample:
 
 A source's documents are dealt into blocks of bounded size by a hash. Each block is one flight that leaves at most two documents
 open, and these are dealt into blocks again, until one block per source is left; so a hot source is as many tasks as it has
-blocks, and a level has a ten-thousandth of the rows of the one before. Draws depend on the source, block and level alone:
+blocks, and a level has a thousandth of the rows of the one before. Draws depend on the source, block and level alone:
 reruns agree, however the rows are partitioned.
 
 Rows that are equal in (doc_id, source, size) are one unit of n rows until the end; they take the unit's copies in even shares,
@@ -34,7 +34,7 @@ from remitlens.operators.ranking import running_totals
 
 WEIGHTS, CAP = (1, 2, 3), 3
 #: Documents of one flight, and documents that are rounded together at its end.
-BLOCK, LANDING = 20_000, 14
+BLOCK, LANDING = 2_000, 14
 DOCUMENT = 0.01
 #: Sources whose names have this many bytes together are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_BYTES = 4 << 20
