@@ -78,16 +78,17 @@ def transfer_totals(stg_transfers: DataFrame) -> DataFrame:
     return stg_transfers.groupBy("user_id").agg(*totals)
 
 
-def fct_financial_transfers(stg_transfers: DataFrame) -> DataFrame:
-    """Two steps and two shuffles: per user and route, then per user.
+# Partial aggregates of a user's route, and how two of them are merged.
+ROUTE_KEYS = ("user_id", "sender_country", "receiver_country")
+_MERGED = {
+    "n": F.sum, "cents": F.sum, "top": F.max, "low": F.min, "frauds": F.sum, "very_large": F.sum, "micro": F.sum
+}
 
-    The first step bounds a hot user to their routes. In the second a route is a row of its own, so the corridors are
-    the routes with both ends known (country names must not contain the arrow that joins them), and the distinct
-    countries are small collected sets, bounded by the number of countries in the world. Distinct aggregates
-    would expand the rows once for each count.
-    """
+
+def route_partials(stg_transfers: DataFrame) -> DataFrame:
+    """One row per user and route (NULL ends included): counts, hundredths and extremes, which merge exactly."""
     usd, tier = F.col("transfer_amount_usd"), F.col("transfer_size_tier")
-    per_route = stg_transfers.groupBy("user_id", "sender_country", "receiver_country").agg(
+    return stg_transfers.groupBy(*ROUTE_KEYS).agg(
         F.count("*").alias("n"),
         F.sum(scaled(usd)).alias("cents"),
         F.max(usd).alias("top"),
@@ -96,6 +97,20 @@ def fct_financial_transfers(stg_transfers: DataFrame) -> DataFrame:
         count_where(tier == "very_large").alias("very_large"),
         count_where(tier == "micro").alias("micro"),
     )
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of any number of parts of the transfers as those of all of them."""
+    return partials.groupBy(*ROUTE_KEYS).agg(*[merge(name).alias(name) for name, merge in _MERGED.items()])
+
+
+def transfers_of_routes(per_route: DataFrame) -> DataFrame:
+    """The transfer fact from one row per user and route.
+
+    A route is a row of its own, so the corridors are the routes with both ends known (country names must not contain
+    the arrow that joins them), and the distinct countries are small collected sets, bounded by the number of countries in
+    the world. Distinct aggregates would expand the rows once for each count.
+    """
     totals = _transfer_totals(
         rows=F.sum("n"),
         cents=F.sum("cents"),
@@ -114,6 +129,11 @@ def fct_financial_transfers(stg_transfers: DataFrame) -> DataFrame:
     )
 
 
+def fct_financial_transfers(stg_transfers: DataFrame) -> DataFrame:
+    """Two steps and two shuffles: per user and route, which bounds a hot user to their routes, then per user."""
+    return transfers_of_routes(route_partials(stg_transfers))
+
+
 def fct_support_tickets(stg_tickets: DataFrame) -> DataFrame:
     def having(column: str, value: str) -> Column:
         return count_where(F.col(column) == value)

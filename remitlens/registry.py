@@ -18,7 +18,7 @@ from remitlens.operators import filters, profiling, quality, ranking
 from remitlens.operators.dedup import first_per_key
 from remitlens.plans import reports, views
 from remitlens.plans.models import MODELS, Warehouse
-from remitlens.plans.runner import catalog_store, file_store, run_models, run_summary
+from remitlens.plans.runner import catalog_store, counted_inputs, file_store, run_models, run_summary
 from remitlens.plans.staging import stg_cdrs
 from remitlens.session import prepare, scratch_path, settle
 from remitlens.sources import bindings, loads, readers, writers
@@ -360,13 +360,15 @@ def _built_tables(spark: SparkSession, sf_dir: str):
 
 @query("dq_row_counts")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 17 tables, the models as a run wrote them into the catalog, and one that nobody wrote."""
+    """All 17 tables, the models as a run wrote them into the catalog, and one that nobody wrote. Every table is counted by the job
+    that reads or writes it anyhow."""
     tables, database = Warehouse.over(spark, sf_dir), _new_namespace(spark, "catalog")
-    raw = {name: tables[name] for name in schemas.RAW_TABLES}
-    run_models(raw, catalog_store(database))
+    raw, counts = counted_inputs({name: tables[name] for name in schemas.RAW_TABLES})
+    _, runs = run_models(raw, catalog_store(database))
     layers = {**schemas.LAYERS, "mart_not_built": "MART"}
     models = quality.catalog_tables(spark, database, [name for name in layers if name not in raw])
-    return quality.non_empty_check({**raw, **models}, layers)
+    written = {run.model: run.rows for run in runs if run.status == "PASS"}
+    return quality.non_empty_check({**raw, **models}, layers, {**counts(), **written})
 
 
 @query("model_run_summary")
@@ -453,7 +455,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         topic, out = f"{root}/topic/{name}", f"{root}/landed/{name}"
         ingest.publish_messages(tables[name], topic)
-        stream = ingest.consume_topic(spark, topic, schemas.RAW_SCHEMAS[name])
+        stream = ingest.consume_topic(spark, topic, schemas.RAW_SCHEMAS[name], required=schemas.REQUIRED[name])
         ingest.drain(ingest.land_json(stream, out, f"{root}/checkpoint/{name}"))
         rows = readers.read_json(spark, out, schemas.RAW_SCHEMAS[name], multi_line=False)
         landed.append(
@@ -473,7 +475,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-batches")
     ingest.publish_messages(Warehouse.over(spark, sf_dir)["raw_cdrs"], f"{root}/topic")
     for _ in range(2):
-        stream = ingest.consume_topic(spark, f"{root}/topic", schemas.CDRS)
+        stream = ingest.consume_topic(spark, f"{root}/topic", schemas.CDRS, required=schemas.REQUIRED["raw_cdrs"])
         ingest.drain(ingest.land_batches(stream, f"{root}/out", f"{root}/checkpoint"))
     written = readers.read_optional(
         spark, schemas.CDRS, lambda: spark.read.schema(schemas.CDRS).parquet(f"{root}/out")
@@ -510,6 +512,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.latest_call_facts(spark, f"{root}/out")
 
 
+@query("stream_fct_transfers")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic of transfers in several micro-batches, compacted in the middle."""
+    root = scratch_path(spark, "stream-transfers")
+    topic, out, checkpoint = f"{root}/topic", f"{root}/out", f"{root}/checkpoint"
+    transfers = Warehouse.over(spark, sf_dir)["raw_transfers"]
+    first_half = F.crc32("transfer_id") % 2 == 0
+    for part in (transfers.where(first_half), transfers.where(~first_half)):
+        ingest.publish_messages(part, topic)
+        stream = ingest.consume_topic(spark, topic, schemas.TRANSFERS, required=schemas.REQUIRED["raw_transfers"])
+        ingest.drain(ingest.transfer_facts_stream(stream, out, checkpoint))
+        ingest.compact_transfer_facts(spark, out)
+    return ingest.latest_transfer_facts(spark, out)
+
+
 # --- machine learning ----------------------------------------------------------------------------------------
 on_tables("ml_features", fraud.training_table, FRAUD)
 on_tables("ml_label_balance", lambda mart: fraud.label_balance(fraud.training_table(mart)), FRAUD)

@@ -73,6 +73,13 @@ REQUIRED = {
     "raw_payments": ("transaction_id", "user_id"),
 }
 RAW_TABLES = tuple(RAW_SCHEMAS)
+
+
+def required_of(schema: T.StructType) -> tuple[str, ...]:
+    """The required columns of a raw schema; none for other schemas."""
+    return next((REQUIRED[name] for name, raw in RAW_SCHEMAS.items() if raw == schema), ())
+
+
 STAGING_TABLES = ("stg_tickets", "stg_cdrs", "stg_transfers", "stg_payments")
 FACT_TABLES = ("fct_telecom_calls", "fct_financial_transfers", "fct_support_tickets", "fct_payments")
 MART_TABLES = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from remitlens.sources.readers import enforce_required, read_csv, read_json
-from remitlens.sources.writers import append_table, replace_table
+from remitlens.sources.writers import add_rows, publish_table
 
 TRUNCATE, APPEND = "truncate", "append"
 
@@ -25,12 +25,12 @@ def read_files(
 
 
 def load(files: DataFrame, table: str, required: Sequence[str], mode: str = TRUNCATE) -> int:
-    """Write rows into a catalog table and return how many it holds.
+    """Write rows into a catalog table and return how many it holds, as the write counted them.
 
-    A row without a required field fails the load: the table then keeps its former content, as its files are
-    replaced only after all tasks have succeeded. ``truncate`` replaces the rows of the table, ``append`` adds to them.
+    A row without a required field fails the load, and the table then keeps its former content: ``truncate`` replaces
+    the rows of the table once the new ones are complete, ``append`` adds to them.
     """
     if mode not in (TRUNCATE, APPEND):
         raise ValueError(f"unknown load mode: {mode}")
     checked = enforce_required(files, required)
-    return (append_table if mode == APPEND else replace_table)(checked, table).count()
+    return (add_rows if mode == APPEND else publish_table)(checked, table).rows

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from remitlens.plans.facts import fct_telecom_calls
-from remitlens.plans.staging import stg_cdrs
-from remitlens.schemas import CDRS
-from remitlens.session import settle
-from remitlens.sources.readers import JSON_TIMES, as_json, enforce_required, read_optional
+from remitlens.plans.facts import fct_telecom_calls, merged_partials, route_partials, transfers_of_routes
+from remitlens.plans.staging import stg_cdrs, stg_transfers
+from remitlens.schemas import CDRS, TRANSFERS, required_of
+from remitlens.sources.readers import JSON_TIMES, as_json, enforce_required
+from remitlens.sources.snapshots import VERSION, Snapshot, SnapshotStore
 
 
 def publish_messages(df: DataFrame, topic: str) -> None:
@@ -25,12 +25,13 @@ def publish_messages(df: DataFrame, topic: str) -> None:
     df.select(as_json(df).alias("value")).write.mode("append").text(topic)
 
 
-def parse_messages(messages: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+def parse_messages(messages: DataFrame, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
     """Rows of the JSON documents in the ``value`` column; an unreadable message, or one without a required field,
-    fails the query.
+    fails the query. The required fields of the raw schemas are known; for other schemas they are named.
 
     The column layout is that of a broker source, so consuming from a broker only changes the reader.
     """
+    required = required_of(schema) if required is None else required
     options = {"mode": "FAILFAST", **JSON_TIMES}
     document = F.from_json(F.col("value").cast("string"), schema, options)
     return enforce_required(messages.select(document.alias("m")).select("m.*"), required)
@@ -44,7 +45,7 @@ def consume_topic(
     *,
     source: str = "text",
     options: Mapping[str, str] | None = None,
-    required: Sequence[str] = (),
+    required: Sequence[str] | None = None,
 ) -> DataFrame:
     """A topic as a stream of parsed rows, in micro-batches of bounded size.
 
@@ -131,9 +132,31 @@ def drop_redelivered(stream: DataFrame, key: str, horizon: str = "1 day", spread
     return arrived.dropDuplicatesWithinWatermark([key]).drop("_arrived_at")
 
 
+def _stored(stream: DataFrame, store: SnapshotStore, checkpoint: str, mode: str, prepare) -> StreamingQuery:
+    """Commits each micro-batch to a snapshot store, once: a repeated batch of the same query is known by its number."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store.append_batch(prepare(batch), query or checkpoint, batch_id)
+
+    return (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _with_version(schema: T.StructType) -> T.StructType:
+    return T.StructType([*(T.StructField(f.name, f.dataType, True) for f in schema.fields), T.StructField(VERSION, T.LongType())])
+
+
+# --- call facts: the newest state of each user ------------------------------------------------------------------
 def call_facts_stream(raw_calls: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep the call facts up to date: each micro-batch writes the new state of the users it touched."""
-    return land_batches(fct_telecom_calls(stg_cdrs(raw_calls)), out, checkpoint, mode="update")
+    """Keep the call facts up to date: each micro-batch commits the new state of the users it touched to the store in ``out``."""
+    store = SnapshotStore(raw_calls.sparkSession, out)
+    return _stored(fct_telecom_calls(stg_cdrs(raw_calls)), store, checkpoint, "update", lambda batch: batch)
 
 
 def call_facts_schema(spark: SparkSession) -> T.StructType:
@@ -143,39 +166,58 @@ def call_facts_schema(spark: SparkSession) -> T.StructType:
 
 
 def _newest(history: DataFrame) -> DataFrame:
-    columns = [name for name in history.columns if name not in ("user_id", "batch_id")]
-    newest = F.max_by(F.struct(*columns, "batch_id"), F.col("batch_id")).alias("newest")
+    columns = [name for name in history.columns if name not in ("user_id", VERSION)]
+    newest = F.max_by(F.struct(*columns, VERSION), F.col(VERSION)).alias("newest")
     return history.groupBy("user_id").agg(newest).select("user_id", "newest.*")
 
 
 def call_facts_history(spark: SparkSession, out: str) -> DataFrame:
-    """All written states since the last compaction, with their batch; empty if nothing was written yet."""
-    schema = T.StructType([*call_facts_schema(spark).fields, T.StructField("batch_id", T.LongType())])
-    return read_optional(spark, schema, lambda: spark.read.schema(schema).parquet(out))
+    """All committed states since the last compaction, with their version; empty if nothing was committed yet."""
+    return SnapshotStore(spark, out).read(_with_version(call_facts_schema(spark)))
 
 
 def latest_call_facts(spark: SparkSession, out: str) -> DataFrame:
-    """The newest written state per user."""
-    return _newest(call_facts_history(spark, out)).drop("batch_id")
+    """The newest committed state per user."""
+    return _newest(call_facts_history(spark, out)).drop(VERSION)
 
 
-def compact_call_facts(spark: SparkSession, out: str) -> int | None:
-    """Fold all batches into the folder of the newest one, and return its number; None if there is nothing to fold.
+def compact_call_facts(spark: SparkSession, out: str) -> Snapshot:
+    """Fold all committed states into the newest one per user, as the next snapshot.
 
-    Run between streams. The folded rows replace the newest batch under its own number before the older folders
-    go, so a compaction that is cut short, or repeated, changes no result: a row of an older batch never beats
-    the state of its user in the newest folder.
+    May run beside the stream, be cut short at any point or be repeated: readers follow the former snapshot until the next
+    one is committed. ``SnapshotStore.expire`` removes what no snapshot needs.
     """
-    history = call_facts_history(spark, out)
-    last = history.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return None
-    staged = settle(spark, _newest(history).drop("batch_id"), "compacted-facts")
-    staged.write.mode("overwrite").parquet(f"{out}/batch_id={last}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) < last:
-            files.delete(status.getPath(), True)
-    return last
+    return SnapshotStore(spark, out).compact(_with_version(call_facts_schema(spark)), _newest)
+
+
+# --- transfer facts: partial aggregates that add up -----------------------------------------------------------
+def transfer_facts_stream(raw_transfers: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Add each micro-batch's partial aggregates by user and route to the store in ``out``.
+
+    The query itself holds no state. Partials merge exactly, distinct countries and corridors included, as every route is a row; what
+    is stored is bounded by the routes of the users and the batches since the last compaction.
+    """
+    store = SnapshotStore(raw_transfers.sparkSession, out)
+    return _stored(stg_transfers(raw_transfers), store, checkpoint, "append", route_partials)
+
+
+def _partials_schema(spark: SparkSession) -> T.StructType:
+    return _with_version(route_partials(stg_transfers(spark.createDataFrame([], TRANSFERS))).schema)
+
+
+def transfer_partials(spark: SparkSession, out: str) -> DataFrame:
+    return SnapshotStore(spark, out).read(_partials_schema(spark))
+
+
+def latest_transfer_facts(spark: SparkSession, out: str) -> DataFrame:
+    """The transfer facts of all committed batches."""
+    return transfers_of_routes(merged_partials(transfer_partials(spark, out)))
+
+
+def compact_transfer_facts(spark: SparkSession, out: str) -> Snapshot:
+    """Merge all committed partials into one row per user and route, as the next snapshot; as safe as ``compact_call_facts``."""
+
+    def fold(partials: DataFrame) -> DataFrame:
+        return merged_partials(partials).withColumn(VERSION, F.lit(None).cast("bigint"))
+
+    return SnapshotStore(spark, out).compact(_partials_schema(spark), fold)

@@ -13,9 +13,10 @@ from remitlens.operators.dedup import first_per_key
 from remitlens.plans import marts, staging, views
 from remitlens.plans.facts import fct_financial_transfers, fct_telecom_calls, transfer_totals
 from remitlens.plans.models import MODELS, Warehouse
-from remitlens.plans.runner import catalog_store, file_store, run_models
+from remitlens.plans.runner import catalog_store, counted_inputs, file_store, run_models
 from remitlens.registry import QUERIES
-from remitlens.sources.writers import create_namespace
+from remitlens.sources.snapshots import SnapshotStore
+from remitlens.sources.writers import create_namespace, known_rows
 
 
 @pytest.fixture(scope="module")
@@ -191,6 +192,41 @@ def test_run_skips_dependents_of_a_failed_model(tables, tmp_path):
     assert "fct_payments" not in written and [run.model for run in runs] == list(MODELS)
 
 
+@pytest.mark.parametrize("kind", ["files", "catalog"])
+def test_a_failed_model_keeps_its_former_table(spark, tables, tmp_path, kind):
+    database = "kept_run"
+    create_namespace(spark, database, str(tmp_path / "db"))
+    save = file_store(str(tmp_path / "files")) if kind == "files" else catalog_store(database)
+    raw = raw_inputs(tables)
+    _, first = run_models(raw, save)
+    boom = F.when(F.col("transaction_id") == "x", "x").otherwise(F.raise_error(F.lit("half way")))
+    broken = raw["raw_payments"].withColumn("subscription_plan", boom)
+    written, second = run_models({**raw, "raw_payments": broken}, save)
+    assert {run.model: run.status.split(":")[0] for run in second if run.status != "PASS"} == {
+        "stg_payments": "FAIL", "fct_payments": "SKIPPED", "mart_customer_360": "SKIPPED", "mart_revenue_analytics": "SKIPPED"
+    }
+    assert "stg_payments" not in written
+    rows = {run.model: run.rows for run in first}
+    for name in ("stg_payments", "fct_payments", "stg_cdrs"):
+        if kind == "files":
+            store = SnapshotStore(spark, f"{tmp_path}/files/{name}")
+            assert store.read(tables[name].schema).count() == rows[name]
+        else:
+            assert spark.table(f"{database}.{name}").count() == rows[name] == known_rows(spark, f"{database}.{name}")
+
+
+def test_rows_of_a_run_are_counted_by_its_writes(spark, tables, tmp_path):
+    """No job of a run or of the check reads a table only to count it."""
+    raw, counts = counted_inputs(raw_inputs(tables))
+    written, runs = run_models(raw, file_store(str(tmp_path)), workers=3)
+    assert {run.model: run.rows for run in runs} == {name: written[name].count() for name in MODELS}
+    assert counts() == {name: tables[name].count() for name in schemas.RAW_TABLES}
+    known = {**counts(), **{run.model: run.rows for run in runs}}
+    check = quality.non_empty_check({**raw, **{name: written[name] for name in MODELS}, "mart_none": None}, {**schemas.LAYERS, "mart_none": "MART"}, known)
+    assert "Scan parquet" not in check._jdf.queryExecution().executedPlan().toString()
+    assert {row.status for row in check.collect() if row.table_name != "mart_none"} == {"OK"}
+
+
 def test_bucketed_facts_give_the_same_marts_without_shuffles(spark, tables):
     create_namespace(spark, "bucketed_run")
     written, runs = run_models(raw_inputs(tables), catalog_store("bucketed_run", fact_buckets=4))

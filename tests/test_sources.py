@@ -155,3 +155,105 @@ def test_box_statistics_round_before_counting(spark):
     df = spark.createDataFrame([("a", i + j / 1e6) for i in range(4) for j in range(50)], "g string, v double")
     counted = profiling.box_statistics(df, "g", "v", places=1).first()
     assert (counted["lowest"], counted["median"], counted["highest"], counted["rows"]) == (0.0, 1.5, 3.0, 200)
+
+
+def _broken(spark, rows=100):
+    """Fails when the last row is written."""
+    bad = F.when(F.col("id") == rows - 1, F.raise_error(F.lit("half way")).cast("bigint")).otherwise(F.col("id"))
+    return spark.range(0, rows, 1, 4).select(bad.alias("id"))
+
+
+def _folders(root, name):
+    return [p for p in root.iterdir() if p.name.startswith(name)]
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"published_{tmp_path.name}".replace("-", "_").lower()
+    writers.create_namespace(spark, name, str(tmp_path / "db"))
+    return name
+
+
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_a_failed_truncating_load_keeps_the_former_rows(spark, tmp_path, database, kind):
+    required, schema, table = schemas.REQUIRED["raw_payments"], schemas.PAYMENTS, f"{database}.raw_payments"
+    good = [(f"t{i}", "u", "gold", 1.5, "paid") for i in range(10)]
+    for name, rows in (("good", good), ("bad", [*good, ("t", None, "gold", 2.0, "paid")]), ("less", good[:3])):
+        df, path = spark.createDataFrame(rows, schema), str(tmp_path / name)
+        df.write.json(path) if kind == "json" else writers.export_csv(df, path)
+    good_files, bad_files, less_files = [
+        loads.read_files(spark, str(tmp_path / name), schema, kind=kind, multi_line=False) for name in ("good", "bad", "less")
+    ]
+    with pytest.raises(Exception, match="required field user_id is missing"):
+        loads.load(bad_files, table, required)
+    assert not spark.catalog.tableExists(table)  # a first load that fails leaves nothing
+    assert not list((tmp_path / "db").iterdir())
+    assert loads.load(good_files, table, required) == 10
+    with pytest.raises(Exception, match="required field user_id is missing"):
+        loads.load(bad_files, table, required)
+    assert spark.table(table).count() == 10 and writers.known_rows(spark, table) == 10
+    assert loads.load(less_files, table, required) == 3 and spark.table(table).count() == 3
+    assert loads.load(less_files, table, required, loads.APPEND) == 6
+
+
+def test_a_table_is_switched_in_one_step_and_former_rows_stay_readable(spark, tmp_path, database):
+    table = f"{database}.t"
+    for n in range(4):
+        before = spark.table(table) if n else None
+        written = writers.publish_table(spark.range(n + 1), table)
+        assert (written.rows, written.table.count(), spark.table(table).count()) == (n + 1,) * 3
+        if n:
+            assert before.count() == n  # a plan made before the switch reads the former rows
+    assert len(_folders(tmp_path / "db", "t-")) == 2  # this one and the former
+    with pytest.raises(Exception, match="half way"):
+        writers.publish_table(_broken(spark), table)
+    assert spark.table(table).count() == 4 and len(_folders(tmp_path / "db", "t-")) == 2
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+def test_a_table_may_change_its_columns_buckets_and_kind(spark, tmp_path, database):
+    table = f"{database}.t"
+    spark.range(7).write.saveAsTable(table)  # a managed table, made elsewhere
+    assert writers.known_rows(spark, table) is None
+    assert writers.publish_table(spark.range(5), table).table.count() == 5
+    wider = spark.range(6).withColumn("more", F.lit("x"))
+    assert writers.publish_table(wider, table).table.columns == ["id", "more"]
+    assert writers.publish_table(wider, table, "id", 4).rows == 6
+    plan = spark.table(table).groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and spark.table(table).count() == 6
+    assert writers.publish_table(wider.limit(2), table).table.count() == 2
+
+
+def test_a_lost_rename_gives_the_name_back(spark, tmp_path, database, monkeypatch):
+    table, run = f"{database}.t", type(spark).sql
+    writers.publish_table(spark.range(5), table)
+
+    def breaking(self, text, *args, **kwargs):
+        if text.endswith(f"RENAME TO {table}") and "__was_" not in text.split(" RENAME")[0]:
+            raise OSError("catalog is away")
+        return run(self, text, *args, **kwargs)
+
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="catalog is away"):
+        patched.setattr(type(spark), "sql", breaking)
+        writers.publish_table(spark.range(5).withColumn("more", F.lit(1)), table)
+    assert spark.table(table).columns == ["id"] and spark.table(table).count() == 5
+
+
+def test_counts_of_appends_are_those_of_the_write(spark, database, monkeypatch):
+    table = f"{database}.t"
+    assert [writers.add_rows(spark.range(n), table).rows for n in (3, 4, 0)] == [3, 7, 7]
+    with pytest.raises(Exception, match="half way"):
+        writers.add_rows(_broken(spark), table)
+    assert writers.known_rows(spark, table) is None  # unknown after a write that broke off
+    assert writers.add_rows(spark.range(2), table).rows == 9 == writers.known_rows(spark, table)
+
+
+def test_folders_are_replaced_when_complete(spark, tmp_path):
+    path = str(tmp_path / "f")
+    writers.replace_files(spark.range(5), path)
+    with pytest.raises(Exception, match="half way"):
+        writers.replace_files(_broken(spark), path)
+    assert spark.read.parquet(path).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["f"]
+    (tmp_path / "f").rename(tmp_path / "f.was")  # as a call leaves it that is cut between its renames
+    assert writers.replace_files(spark.range(6), path).count() == 6
+    assert [p.name for p in tmp_path.iterdir()] == ["f"]

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from remitlens import schemas
 from remitlens.plans.models import Warehouse
+from remitlens.sources import filesystem
+from remitlens.sources.snapshots import Conflict, SnapshotStore
 from remitlens.streaming import ingest
 
 
@@ -71,7 +73,7 @@ def test_facts_follow_the_stream_over_several_batches(spark, sf_dir, calls, tmp_
         ingest.publish_messages(calls.where(F.crc32("call_id") % 3 == part).coalesce(1), topic)
         stream = ingest.consume_topic(spark, topic, schemas.CDRS, max_files_per_batch=1)
         ingest.drain(ingest.call_facts_stream(stream, out, checkpoint))
-    assert spark.read.parquet(out).select("batch_id").distinct().count() >= 3
+    assert ingest.call_facts_history(spark, out).select("version").distinct().count() >= 3
     batch = Warehouse.over(spark, sf_dir)["fct_telecom_calls"]
     assert equal(ingest.latest_call_facts(spark, out).select(*batch.columns), batch)
 
@@ -98,27 +100,148 @@ def test_a_flood_of_one_message(spark, calls, tmp_path):
     assert equal(spark.read.schema(schemas.CDRS).parquet(out), calls)
 
 
-def test_compaction_changes_no_result_and_may_be_repeated(spark, tmp_path):
-    out = str(tmp_path / "facts")
-    assert ingest.compact_call_facts(spark, out) is None
-    assert ingest.latest_call_facts(spark, out).count() == 0
+def _states(spark, out, batches, writer="query"):
+    """Commits batches of call facts in which each user's total says which batch is the newest."""
     schema = ingest.call_facts_schema(spark)
     blank = {f.name: None for f in schema.fields}
-    for batch, users in enumerate([("a", "b"), ("b", "c"), ("c",)]):
+    for batch, users in batches:
         rows = [{**blank, "user_id": u, "total_calls": 10 * batch + 1} for u in users]
-        spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema).write.parquet(f"{out}/batch_id={batch}")
+        frame = spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema)
+        SnapshotStore(spark, out).append_batch(frame, writer, batch)
+
+
+def _totals(spark, out):
+    return {r.user_id: r.total_calls for r in ingest.latest_call_facts(spark, out).collect()}
+
+
+def test_compaction_changes_no_result_and_may_be_repeated(spark, tmp_path):
+    out = str(tmp_path / "facts")
+    assert ingest.compact_call_facts(spark, out).number == 0
+    assert ingest.latest_call_facts(spark, out).count() == 0
+    _states(spark, out, enumerate([("a", "b"), ("b", "c"), ("c",)]))
     expected = {"a": 1, "b": 11, "c": 21}
     for _ in range(3):
-        assert {r.user_id: r.total_calls for r in ingest.latest_call_facts(spark, out).collect()} == expected
-        assert ingest.compact_call_facts(spark, out) == 2
-    assert [p.name for p in (tmp_path / "facts").glob("batch_id=*")] == ["batch_id=2"]
+        assert _totals(spark, out) == expected
+        assert len(ingest.compact_call_facts(spark, out).folders) == 1
+    _states(spark, out, [(1, ("a",)), (2, ("a",))])  # delivered before
+    assert _totals(spark, out) == expected
+    _states(spark, out, [(3, ("a", "d"))])
+    SnapshotStore(spark, out).expire(keep=1)
+    assert _totals(spark, out) == {"a": 31, "b": 11, "c": 21, "d": 31}
+    assert len(list((tmp_path / "facts" / "data").iterdir())) == 2
+
+
+@pytest.mark.parametrize("step", ["write", "commit", "expire"])
+def test_a_compaction_cut_at_any_step_changes_nothing(spark, tmp_path, monkeypatch, step):
+    out = str(tmp_path / "facts")
+    _states(spark, out, enumerate([("a", "b"), ("b", "c"), ("c",)]))
+    expected = {"a": 1, "b": 11, "c": 21}
+
+    def fail(*args):
+        raise OSError("cut")
+
+    with monkeypatch.context() as patched, pytest.raises(Exception, match="cut"):
+        if step == "write":
+            bad = lambda rows: rows.withColumn("total_calls", F.raise_error(F.lit("cut")).cast("bigint"))
+            patched.setattr(ingest, "_newest", bad)
+        elif step == "commit":
+            patched.setattr(filesystem, "create", fail)
+        else:
+            patched.setattr(filesystem, "remove", fail)
+        ingest.compact_call_facts(spark, out)
+        SnapshotStore(spark, out).expire(keep=1)
+    assert _totals(spark, out) == expected
+    _states(spark, out, [(3, ("c",))])
+    ingest.compact_call_facts(spark, out)
+    SnapshotStore(spark, out).expire(keep=1, orphan_hours=0)
+    assert _totals(spark, out) == {**expected, "c": 31}
+    assert len(list((tmp_path / "facts" / "data").iterdir())) == 1
+
+
+def test_a_batch_that_fails_is_taken_again(spark, calls, sf_dir, tmp_path, monkeypatch):
+    """The write of a micro-batch breaks off; the restarted stream repeats it, once."""
+    topic, out, checkpoint = (str(tmp_path / part) for part in ("topic", "out", "checkpoint"))
+    ingest.publish_messages(calls.where(F.crc32("call_id") % 2 == 0), topic)
+
+    def run():
+        stream = ingest.consume_topic(spark, topic, schemas.CDRS)
+        ingest.drain(ingest.call_facts_stream(stream, out, checkpoint))
+
+    run()
+    before = _totals(spark, out)
+    ingest.publish_messages(calls.where(F.crc32("call_id") % 2 == 1), topic)
+    commit = SnapshotStore.commit
+
+    def commit_and_die(self, *args, **kwargs):
+        commit(self, *args, **kwargs)
+        raise OSError("the driver is lost")
+
+    with monkeypatch.context() as patched, pytest.raises(Exception, match="driver is lost"):
+        patched.setattr(filesystem, "create", lambda *args: (_ for _ in ()).throw(OSError("the driver is lost")))
+        run()
+    assert _totals(spark, out) == before
+    with monkeypatch.context() as patched, pytest.raises(Exception, match="driver is lost"):
+        patched.setattr(SnapshotStore, "commit", commit_and_die)
+        run()
+    run()
+    batch = Warehouse.over(spark, sf_dir)["fct_telecom_calls"]
+    assert equal(ingest.latest_call_facts(spark, out).select(*batch.columns), batch)
+    assert len(SnapshotStore(spark, out).latest().folders) == 2
+
+
+def test_transfer_facts_add_up_over_batches_compactions_and_repeats(spark, sf_dir, tmp_path):
+    topic, out, checkpoint = (str(tmp_path / part) for part in ("topic", "out", "checkpoint"))
+    transfers = Warehouse.over(spark, sf_dir)["raw_transfers"]
+    assert ingest.latest_transfer_facts(spark, out).count() == 0
+    for part in range(3):
+        ingest.publish_messages(transfers.where(F.crc32("transfer_id") % 3 == part).coalesce(2), topic)
+        stream = ingest.consume_topic(spark, topic, schemas.TRANSFERS, max_files_per_batch=1)
+        ingest.drain(ingest.transfer_facts_stream(stream, out, checkpoint))
+        if part == 1:
+            assert len(ingest.compact_transfer_facts(spark, out).folders) == 1
+    store = SnapshotStore(spark, out)
+    last = store.latest()
+    writer, batch = next((k, v) for k, v in last.marks.items() if k != "sequence")
+    assert store.append_batch(ingest.transfer_partials(spark, out).drop("version"), writer, batch) == last
+    fact = Warehouse.over(spark, sf_dir)["fct_financial_transfers"]
+    assert equal(ingest.latest_transfer_facts(spark, out).select(*fact.columns), fact)
+    ingest.compact_transfer_facts(spark, out)
+    assert equal(ingest.latest_transfer_facts(spark, out).select(*fact.columns), fact)
+
+
+def test_a_snapshot_has_one_successor(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    first, rows = store.replace(spark.range(3))
+    folder, more = store.stage(spark.range(3, 5))
+    assert (rows, more) == (3, 2)
+    second = store.commit(first, (*first.folders, folder))
+    with pytest.raises(Conflict):
+        store.commit(first, ())
+    schema = spark.range(0).schema
+    assert store.read(schema).count() == 5 and store.read(schema, first).count() == 3
+    assert store.latest() == second
+    # A batch that arrives while a compaction is being written stays beside it.
+    writing = store.stage
+
+    def late(df):
+        staged = writing(df)
+        if store.stage is not writing:
+            store.stage = writing
+            store.commit(store.latest(), (*store.latest().folders, writing(spark.range(5, 6))[0]))
+        return staged
+
+    store.stage = late
+    store.compact(schema, lambda rows: rows)
+    assert sorted(r.id for r in store.read(schema).collect()) == [0, 1, 2, 3, 4, 5] and len(store.latest().folders) == 2
 
 
 def test_messages_without_a_key_fail_and_sources_are_free(spark, tmp_path):
     topic = str(tmp_path / "topic")
     spark.createDataFrame([('{"call_id": "c1"}',)], "value string").write.text(topic)
-    stream = ingest.consume_topic(spark, topic, schemas.CDRS, required=schemas.REQUIRED["raw_cdrs"])
-    with pytest.raises(Exception, match="required field user_id is missing"):
-        ingest.drain(ingest.land_parquet(stream, str(tmp_path / "out"), str(tmp_path / "check")))
+    for number, required in enumerate((schemas.REQUIRED["raw_cdrs"], None)):
+        stream = ingest.consume_topic(spark, topic, schemas.CDRS, required=required)
+        for kind, land in enumerate((ingest.land_parquet, ingest.land_json, ingest.land_batches)):
+            with pytest.raises(Exception, match="required field user_id is missing"):
+                ingest.drain(land(stream, str(tmp_path / f"out{number}{kind}"), str(tmp_path / f"check{number}{kind}")))
     rate = ingest.consume_topic(spark, None, schemas.CDRS, source="rate", options={"rowsPerSecond": "1"})
     assert rate.isStreaming and rate.columns == schemas.CDRS.names
