@@ -494,6 +494,7 @@ def _bodies() -> dict[str, str]:
         "stream_dedup": "SELECT * FROM raw_cdrs",
         "stream_staging": "SELECT * FROM stg_cdrs",
         "stream_fct_calls": "SELECT * FROM fct_telecom_calls",
+        "stream_pull": "SELECT * FROM raw_cdrs",
         "stream_fct_transfers": "SELECT * FROM fct_financial_transfers",
     }
 

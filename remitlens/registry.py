@@ -23,7 +23,7 @@ from remitlens.plans.staging import stg_cdrs
 from remitlens.session import prepare, scratch_path, settle
 from remitlens.sources import bindings, loads, readers, writers
 from remitlens.sources.bindings import plain_timestamps
-from remitlens.streaming import ingest
+from remitlens.streaming import ingest, spool
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -512,6 +512,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.latest_call_facts(spark, f"{root}/out")
 
 
+@query("stream_pull")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls pulled from a spool in bounded pulls, until all are there; a second run finds the spool empty."""
+    root = scratch_path(spark, "stream-pull")
+    expected = spool.publish_to_spool(Warehouse.over(spark, sf_dir)["raw_cdrs"], f"{root}/spool")
+    spool.register_spool(spark)
+    for empty_pulls in (5, 2):
+        options = spool.spool_options(f"{root}/spool", "cdr", max_messages=max(5000, -(-expected // 4)))
+        stream = ingest.consume_topic(spark, None, schemas.CDRS, source="spool", options=options, required=schemas.REQUIRED["raw_cdrs"])
+        landing = ingest.json_landing(stream, f"{root}/landed", f"{root}/checkpoint")
+        expected -= spool.pull_until(spark, landing, expected + 1 if empty_pulls == 2 else expected, empty_pulls, "100 milliseconds")
+    return plain_timestamps(readers.read_json(spark, f"{root}/landed", schemas.CDRS, multi_line=False))
+
+
 @query("stream_fct_transfers")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic of transfers in several micro-batches, compacted in the middle."""

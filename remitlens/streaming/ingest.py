@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.query import StreamingQuery
 
 from remitlens.plans.facts import fct_telecom_calls, merged_partials, route_partials, transfers_of_routes
@@ -75,21 +76,24 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def land_json(
-    stream: DataFrame, out: str, checkpoint: str, records_per_file: int = 100_000
-) -> StreamingQuery:
-    """Land a stream as JSON lines in files of bounded size."""
+def json_landing(stream: DataFrame, out: str, checkpoint: str, records_per_file: int = 100_000) -> DataStreamWriter:
+    """A writer of JSON lines in files of bounded size, to be started with a trigger."""
     return (
         stream.writeStream.format("json")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", records_per_file)
         .options(**JSON_TIMES)
-        .trigger(availableNow=True)
-        .start()
     )
 
 
+def land_json(
+    stream: DataFrame, out: str, checkpoint: str, records_per_file: int = 100_000
+) -> StreamingQuery:
+    """Land a stream as JSON lines in files of bounded size."""
+    return json_landing(stream, out, checkpoint, records_per_file).trigger(availableNow=True).start()
+
+
 def land_parquet(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.format("parquet")

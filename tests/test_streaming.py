@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from remitlens import schemas
 from remitlens.plans.models import Warehouse
 from remitlens.sources import filesystem
 from remitlens.sources.snapshots import Conflict, SnapshotStore
-from remitlens.streaming import ingest
+from remitlens.streaming import ingest, spool
 
 
 @pytest.fixture
@@ -245,3 +247,88 @@ def test_messages_without_a_key_fail_and_sources_are_free(spark, tmp_path):
                 ingest.drain(land(stream, str(tmp_path / f"out{number}{kind}"), str(tmp_path / f"check{number}{kind}")))
     rate = ingest.consume_topic(spark, None, schemas.CDRS, source="rate", options={"rowsPerSecond": "1"})
     assert rate.isStreaming and rate.columns == schemas.CDRS.names
+
+
+@pytest.fixture
+def pulled(spark, calls, tmp_path):
+    """A spool of 955 messages, and a run of a subscription over it that lands what it pulls."""
+    spool.register_spool(spark)
+    path, out, checkpoint = (str(tmp_path / part) for part in ("spool", "out", "checkpoint"))
+    assert spool.publish_to_spool(calls, path, segment=150) == 955
+
+    def run(expected, empty_pulls=5):
+        options = spool.spool_options(path, "calls", max_messages=100)
+        stream = ingest.consume_topic(spark, None, schemas.CDRS, source="spool", options=options)
+        taken = spool.pull_until(spark, ingest.json_landing(stream, out, checkpoint), expected, empty_pulls, "100 milliseconds")
+        return taken, spark.read.schema(schemas.CDRS).json(out).count()
+
+    return run, path, out
+
+
+def test_pulls_stop_at_the_expected_count_and_go_on_from_there(spark, calls, pulled):
+    run, path, out = pulled
+    assert run(250) == (300, 300)  # pulls of 100 until 250 are there
+    assert run(0) == (0, 300)
+    assert run(100) == (100, 400)
+    assert run(10_000, empty_pulls=2) == (555, 955)
+    assert equal(spark.read.schema(schemas.CDRS).json(out), calls)
+
+
+def test_pulls_stop_after_five_empty_ones_and_restarts_add_nothing(spark, calls, pulled):
+    run, path, out = pulled
+    assert run(None) == (955, 955)
+    assert run(None) == (0, 955)
+    spool.publish_to_spool(calls.limit(7), path)
+    assert run(None, empty_pulls=1) == (7, 962)
+
+
+def test_stop_rules():
+    class Id(SimpleNamespace):
+        pass
+
+    rules = spool.StopRules(expected=10, empty_pulls=5)
+    rules.query_id = "q"
+    for _ in range(4):
+        rules.onQueryIdle(Id(id="q"))
+    rules.onQueryIdle(Id(id="another"))
+    rules.onQueryProgress(Id(progress=Id(id="q", numInputRows=3)))  # a message starts the count anew
+    for _ in range(4):
+        rules.onQueryIdle(Id(id="q"))
+    assert not rules.reached.is_set()
+    rules.onQueryIdle(Id(id="q"))
+    assert rules.reached.is_set()
+    rules = spool.StopRules(expected=10, empty_pulls=5)
+    rules.query_id = "q"
+    rules.onQueryProgress(Id(progress=Id(id="q", numInputRows=9)))
+    assert not rules.reached.is_set()
+    rules.onQueryProgress(Id(progress=Id(id="q", numInputRows=1)))
+    assert rules.reached.is_set() and rules.taken == 10
+
+
+def test_a_failing_pull_raises_and_is_repeated(spark, calls, tmp_path):
+    spool.register_spool(spark)
+    path, out, checkpoint = (str(tmp_path / part) for part in ("spool", "out", "checkpoint"))
+    spool.publish_to_spool(calls.limit(30), path)
+    spool.publish_to_spool(calls.limit(1).withColumn("user_id", F.lit(None).cast("string")), path)
+
+    def run(required):
+        options = spool.spool_options(path, "calls", max_messages=20)
+        stream = ingest.consume_topic(spark, None, schemas.CDRS, source="spool", options=options, required=required)
+        return spool.pull_until(spark, ingest.json_landing(stream, out, checkpoint), None, 2, "100 milliseconds")
+
+    with pytest.raises(Exception, match="required field user_id is missing"):
+        run(None)
+    assert spark.read.schema(schemas.CDRS).json(out).count() == 20
+    assert run(()) == 11 and spark.read.schema(schemas.CDRS).json(out).count() == 31
+
+
+def test_a_lost_position_fails_loudly(tmp_path):
+    (tmp_path / "000000000000-5.txt").write_text("a\nb\nc\nd\ne\n")
+    reader = spool.SpoolReader(spool.spool_options(str(tmp_path), "s", 2))
+    assert reader.initialOffset() == {"message": 0}
+    assert [reader.latestOffset()["message"] for _ in range(4)] == [2, 4, 5, 5]
+    with pytest.raises(ValueError, match="position of the subscription was lost"):
+        reader.partitions({"message": 5}, {"message": 2})
+    slices = reader.partitions({"message": 1}, {"message": 4})
+    assert [batch.column(0).to_pylist() for part in slices for batch in reader.read(part)] == [["b", "c", "d"]]
+    assert spool.SpoolReader(spool.spool_options(str(tmp_path), "s", 2)).latestOffset() == {"message": 5}
