@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from remitlens.functions.classify import is_fraud_label
 from remitlens.functions.numeric import percent
+from remitlens.ml import figures
+from remitlens.operators.selection import kth_values
 
 # --- fixed values -------------------------------------------------------------------------------------------
 FEATURES = (
@@ -40,6 +42,13 @@ SEED = 42
 TRAIN_SHARE = 70
 FOREST, BOOSTED, LOGISTIC = "Random Forest", "Gradient Boosting", "Logistic Regression"
 MODEL_NAMES = (FOREST, BOOSTED, LOGISTIC)
+# Scoring rules that need no fitting: a feature, and the value above which it predicts fraud.
+RULES = {
+    "Call Failures": ("call_failure_rate_pct", 30),
+    "Transfer Volume": ("total_transfer_usd", 900),
+    "Support Tickets": ("support_tickets", 5),
+    "Fraud Signals": ("total_fraud_signals", 1),
+}
 # ------------------------------------------------------------------------------------------------------------
 HONEST_FEATURES = tuple(name for name in FEATURES if name not in LABEL_FEATURES)
 
@@ -71,6 +80,23 @@ def split(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table.where(chosen), table.where(~chosen)
 
 
+def stratified(table: DataFrame, share_of_ten: int = 7) -> DataFrame:
+    """The table with ``is_training``: in each class exactly that many tenths of the rows (to the nearest row), chosen by a hash of
+    the user. The bound of each class is its k-th smallest hash, selected by counting; no class is sorted or lies in one task."""
+    digest = F.substring(F.md5(F.concat("user_id", F.lit(f":{SEED}")).cast("binary")), 1, 13)
+    hashed = table.withColumn("_hash", F.conv(digest, 16, 10).cast("double"))  # 52 bits, exact in a double
+    bounds = kth_values(hashed, "is_fraud", "_hash", lambda n: F.array(F.call_function("div", n * share_of_ten + 5, F.lit(10))))
+    bounds = bounds.select(F.col("is_fraud").alias("_class"), F.col("value").alias("_bound"))
+    chosen = F.coalesce(F.col("_hash") <= F.col("_bound"), F.lit(False)).alias("is_training")
+    return hashed.join(F.broadcast(bounds), F.col("is_fraud") == F.col("_class"), "left").select(*table.columns, chosen)
+
+
+def stratified_split(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows with the exact share in both classes."""
+    marked = stratified(table)
+    return marked.where("is_training").drop("is_training"), marked.where("NOT is_training").drop("is_training")
+
+
 def class_weights(table: DataFrame) -> DataFrame:
     """Weight per label: rows / (2 * rows of the label). Two rows."""
     counts = table.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("rows"))
@@ -175,6 +201,20 @@ def metrics(predictions: DataFrame) -> dict[str, float]:
     }
 
 
+def rule_figures(table: DataFrame) -> DataFrame:
+    """Cells, accuracy, precision, recall, F1 and rank-sum AUC of the fixed rules on the rows of a training table, and the best
+    rule by F1, the first listed winning ties. One pass over the table."""
+    rules = {name: (F.col(feature), F.col(feature) > bound) for name, (feature, bound) in RULES.items()}
+    return figures.with_best(figures.figures(figures.by_rules(table, rules, "is_fraud")), list(RULES))
+
+
+def feature_areas(table: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """The rank-sum AUC of each feature alone: how well its order separates the classes, whatever the classifier."""
+    rules = {name: (F.col(name), F.lit(0)) for name in features}
+    found = figures.areas(figures.by_rules(table, rules, "is_fraud"))
+    return found.select(F.col("rule").alias("feature"), "auc")
+
+
 def compare(
     train: DataFrame, test: DataFrame, features: Sequence[str] = FEATURES, settings: Settings = Settings()
 ) -> tuple[dict[str, PipelineModel], dict[str, dict[str, float]], str]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.functions.numeric import count_where, fixed_ratio, round_half_up
+from remitlens.operators.selection import quantiles
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -61,6 +62,18 @@ def box_statistics(df: DataFrame, group: str, column: str, places: int = 4) -> D
     )
 
 
+def exact_box_statistics(df: DataFrame, group: str, column: str) -> DataFrame:
+    """``box_statistics`` of a column of any precision, nothing rounded: quartiles are selected by counting in ranges."""
+    quartiles = quantiles(df, group, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed(group, "_group")
+    values = df.select(group, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    extremes = values.groupBy(group).agg(F.min("_v").alias("lowest"), F.max("_v").alias("highest"))
+    reach = (F.col("q3") - F.col("q1")) * 1.5
+    return extremes.join(quartiles, F.col(group).eqNullSafe(F.col("_group"))).select(
+        group, F.col("n").alias("rows"), "lowest", "q1", "median", "q3", "highest",
+        (F.col("q1") - reach).alias("lower_fence"), (F.col("q3") + reach).alias("upper_fence"),
+    )
+
+
 def null_profile(df: DataFrame, source: str) -> DataFrame:
     """Row count, column count and the mean share of NULLs over all columns, in percent."""
     width = len(df.columns)

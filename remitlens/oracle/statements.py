@@ -58,6 +58,44 @@ def first_per_key(source: str, key: str, rest: list[str]) -> str:
       AS position FROM ({source})) WHERE position = 1"""
 
 
+QUARTILES = (("q1", "0.25E0"), ("median", "0.5E0"), ("q3", "0.75E0"))
+
+
+def between_neighbours(share: str, name: str) -> str:
+    """The value of the sorted list ``xs`` at (rows - 1) * share, between its two neighbours."""
+    place = f"((rows - 1) * {share})"
+    low, high = (f"xs[CAST({f}{place} AS BIGINT) + 1]" for f in ("FLOOR", "CEIL"))
+    return f"{low} * (1 - ({place} - FLOOR{place})) + {high} * ({place} - FLOOR{place}) AS {name}"
+
+
+def quotient(part: str, whole: str) -> str:
+    """0 where it is undefined."""
+    return f"CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) ELSE 0 END"
+
+
+# Rules of a feature and a bound, and the cells of a confusion matrix (actual, predicted).
+RULES = (
+    ("Call Failures", "call_failure_rate_pct", 30),
+    ("Transfer Volume", "total_transfer_usd", 900),
+    ("Support Tickets", "support_tickets", 5),
+    ("Fraud Signals", "total_fraud_signals", 1),
+)
+CELLS = (("true_safe", 0, 0), ("false_fraud", 0, 1), ("false_safe", 1, 0), ("true_fraud", 1, 1))
+
+
+def rule_rows(rule: str, feature: str, bound: int) -> str:
+    return f"""SELECT '{rule}' AS rule, CAST({ELEVATED} AS INTEGER) AS label, CAST(IFNULL({feature}, 0) AS DOUBLE) AS score,
+        CAST(IFNULL({feature}, 0) > {bound} AS INTEGER) AS prediction FROM mart_fraud_prevention"""
+
+
+# The rank sum of the frauds, with the mean rank of equal scores, taken twice to stay whole.
+AREAS_OF = f"""told AS ({{rows}}),
+    ranks AS (SELECT *, 2 * RANK() OVER (PARTITION BY rule ORDER BY score) + COUNT(*) OVER (PARTITION BY rule, score) - 1 AS twice FROM told),
+    sums AS (SELECT rule, CAST(COALESCE(SUM(twice) FILTER (WHERE label = 1), 0) AS BIGINT) AS twice,
+      COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS n FROM ranks GROUP BY rule),
+    areas AS (SELECT rule, {quotient("twice - p * (p + 1)", "2 * p * n")} AS auc FROM sums)"""
+
+
 def count_row(name: str, source: str | None = None) -> str:
     return f"SELECT '{name}' AS table_name, COUNT(*) AS rows FROM {source or name}"
 
@@ -366,6 +404,11 @@ def _bodies() -> dict[str, str]:
               MAX(customer_health_score) AS highest, QUANTILE_CONT(customer_health_score, 0.25) AS q1,
               QUANTILE_CONT(customer_health_score, 0.5) AS median, QUANTILE_CONT(customer_health_score, 0.75) AS q3
               FROM mart_customer_360 GROUP BY churn_risk)""",
+        "transfer_box_by_sender": f"""SELECT sender_country, rows, lowest, q1, median, q3, highest,
+            q1 - (q3 - q1) * 1.5E0 AS lower_fence, q3 + (q3 - q1) * 1.5E0 AS upper_fence
+            FROM (SELECT *, {", ".join(between_neighbours(share, name) for name, share in QUARTILES)}
+              FROM (SELECT sender_country, COUNT(*) AS rows, MIN(x) AS lowest, MAX(x) AS highest, LIST_SORT(LIST(x)) AS xs
+                FROM (SELECT sender_country, IFNULL(transfer_amount_usd, 0) AS x FROM raw_transfers) GROUP BY sender_country))""",
         "profile_nulls": union_all([null_share(name) for name in (*RAW, *MART_COLUMNS)]),
         "distinct_users": union_all(
             [f"SELECT '{name}' AS source, COUNT(DISTINCT user_id) AS users FROM {name}" for name in RAW]
@@ -518,6 +561,26 @@ def _bodies() -> dict[str, str]:
             [f"SELECT '{name}' AS feature, TRUE AS is_share, TRUE AS sums_to_one" for name in ML_NUMBERS]
         ),
     }
+    found |= {
+        "ml_split_exact": f"""SELECT user_id, is_fraud, ROW_NUMBER() OVER (PARTITION BY is_fraud ORDER BY digest)
+              <= (7 * COUNT(*) OVER (PARTITION BY is_fraud) + 5) // 10 AS is_training
+            FROM (SELECT user_id, CAST({ELEVATED} AS INTEGER) AS is_fraud, SUBSTR(MD5(user_id || ':42'), 1, 13) AS digest
+              FROM mart_fraud_prevention)""",
+        "ml_rule_figures": f"""WITH {AREAS_OF.format(rows=union_all([rule_rows(*rule) for rule in RULES]))},
+            c AS (SELECT rule, {", ".join(f"{where(f'label = {a} AND prediction = {p}')} AS {name}" for name, a, p in CELLS)}
+              FROM told GROUP BY rule),
+            f AS (SELECT *, {quotient("true_fraud + true_safe", "true_fraud + true_safe + false_fraud + false_safe")} AS accuracy,
+              {quotient("true_fraud", "true_fraud + false_fraud")} AS "precision",
+              {quotient("true_fraud", "true_fraud + false_safe")} AS recall,
+              {quotient("2 * true_fraud", "2 * true_fraud + false_fraud + false_safe")} AS f1 FROM c)
+            SELECT f.rule, true_safe, false_fraud, false_safe, true_fraud, accuracy, "precision", recall, f1, auc,
+              f.rule = FIRST_VALUE(f.rule) OVER (ORDER BY f1 DESC, position) AS is_best
+            FROM f JOIN areas ON f.rule = areas.rule
+            JOIN ({union_all([f"SELECT '{rule}' AS rule, {i} AS position" for i, (rule, _, _) in enumerate(RULES)])}) o
+              ON f.rule = o.rule""",
+        "ml_feature_areas": f"""WITH {AREAS_OF.format(rows=union_all([rule_rows(n, n, 0) for n in ML_NUMBERS]))}
+            SELECT rule AS feature, auc FROM areas""",
+    }
     checks = "TRUE AS in_range, TRUE AS best_has_top_f1, TRUE AS top_f1_reached"
     classifiers = ("Random Forest", "Gradient Boosting", "Logistic Regression")
     for name in ("ml_metrics", "ml_metrics_without_label_features"):

@@ -136,6 +136,13 @@ on_tables(
 )
 
 
+on_tables(
+    "transfer_box_by_sender",
+    lambda df: profiling.exact_box_statistics(filters.coerce_numeric(df, ["transfer_amount_usd"]), "sender_country", "transfer_amount_usd"),
+    "raw_transfers",
+)
+
+
 @query("profile_nulls")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine sources of the data explorer; the time of the last refresh is no content of a mart."""
@@ -551,6 +558,13 @@ on_tables(
     ),
     FRAUD,
 )
+on_tables(
+    "ml_split_exact",
+    lambda mart: fraud.stratified(fraud.training_table(mart)).select("user_id", "is_fraud", "is_training"),
+    FRAUD,
+)
+on_tables("ml_rule_figures", lambda mart: fraud.rule_figures(fraud.training_table(mart)), FRAUD)
+on_tables("ml_feature_areas", lambda mart: fraud.feature_areas(fraud.training_table(mart)), FRAUD)
 on_tables("ml_class_weights", lambda mart: fraud.class_weights(fraud.split(fraud.training_table(mart))[0]), FRAUD)
 
 
