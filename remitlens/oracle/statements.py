@@ -252,6 +252,7 @@ def _bodies() -> dict[str, str]:
         ),
         "sink_overwrite": "SELECT * FROM fct_telecom_calls",
         "sink_append": "SELECT * FROM raw_tickets UNION ALL SELECT * FROM raw_tickets",
+        "sink_append_loads": "SELECT * FROM raw_tickets",
         "sink_csv": f"""SELECT user_id, fraud_risk_level, total_fraud_signals, total_transfer_usd, fraud_transfers,
             call_failure_rate_pct, failed_calls, fraud_tickets FROM {FRAUD_FRAME}
             ORDER BY total_fraud_signals DESC, user_id LIMIT 30""",
@@ -535,6 +536,7 @@ def _bodies() -> dict[str, str]:
             UNION ALL SELECT 'TRANSFER', transfer_id, user_id, transfer_amount_usd FROM raw_transfers""",
         "stream_foreachbatch": "SELECT * FROM raw_cdrs",
         "stream_dedup": "SELECT * FROM raw_cdrs",
+        "stream_dedup_late": "SELECT * FROM raw_cdrs",
         "stream_staging": "SELECT * FROM stg_cdrs",
         "stream_fct_calls": "SELECT * FROM fct_telecom_calls",
         "stream_pull": "SELECT * FROM raw_cdrs",
@@ -581,6 +583,15 @@ def _bodies() -> dict[str, str]:
         "ml_feature_areas": f"""WITH {AREAS_OF.format(rows=union_all([rule_rows(n, n, 0) for n in ML_NUMBERS]))}
             SELECT rule AS feature, auc FROM areas""",
     }
+    shown = (
+        ("vw_fraud_summary", "fraud_risk_level", "exposure_usd"),
+        ("vw_customer_health", "customer_segment", "avg_health_score"),
+        ("vw_revenue_by_plan", "latest_subscription_plan", "avg_spend"),
+        ("vw_corridor_top20", "corridor", "total_volume_usd"),
+    )
+    found["vw_lasting"] = union_all(
+        [f"SELECT '{name}' AS view_name, {label} AS label, {figure} AS figure FROM ({found[name]})" for name, label, figure in shown]
+    )
     checks = "TRUE AS in_range, TRUE AS best_has_top_f1, TRUE AS top_f1_reached"
     classifiers = ("Random Forest", "Gradient Boosting", "Logistic Regression")
     for name in ("ml_metrics", "ml_metrics_without_label_features"):

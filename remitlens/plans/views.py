@@ -59,3 +59,46 @@ def register_views(spark: SparkSession, tables, names: Iterable[str] = tuple(VIE
     for name in names:
         build, mart = VIEWS[name]
         build(tables[mart]).createOrReplaceTempView(name)
+
+
+def _hundredths(column: str) -> str:
+    """Sum of a column of two decimals in whole hundredths; as ``exact_sum``."""
+    return f"SUM(CAST(FLOOR({column} * 100 + 0.5D) AS BIGINT))"
+
+
+def _rounded_quotient(part: str, whole: str) -> str:
+    """Whole numbers divided and rounded half away from zero; as ``half_away_div``."""
+    return f"SIGN({part}) * ((ABS({part}) * 2 + {whole}) DIV NULLIF({whole} * 2, 0))"
+
+
+def view_statements(database: str) -> dict[str, str]:
+    """The views as queries over the marts of a database, for a catalog to keep."""
+    health = "SUM(CAST(FLOOR(customer_health_score * 10 + 0.5D) AS BIGINT))"
+    churn = ", ".join(
+        f"COUNT_IF(churn_risk = '{level}') AS {name}"
+        for level, name in zip(CHURN_LEVELS, ("high_churn_users", "moderate_churn_users", "stable_users"))
+    )
+    cents = _hundredths("total_revenue")
+    return {
+        "vw_fraud_summary": f"""SELECT fraud_risk_level, COUNT(1) AS users,
+            {_hundredths("COALESCE(total_transfer_usd, 0D)")} / 100D AS exposure_usd
+            FROM {database}.mart_fraud_prevention GROUP BY fraud_risk_level""",
+        "vw_customer_health": f"""SELECT customer_segment, COUNT(1) AS users,
+            {_rounded_quotient(health, "COUNT(customer_health_score)")} / 10D AS avg_health_score, {churn},
+            {cents} / 100D AS total_revenue FROM {database}.mart_customer_360 GROUP BY customer_segment""",
+        "vw_revenue_by_plan": f"""SELECT latest_subscription_plan, {cents} / 100D AS total_revenue,
+            SUM(total_payments) AS total_transactions, {_rounded_quotient(cents, "SUM(total_payments)")} / 100D AS avg_spend
+            FROM {database}.mart_revenue_analytics GROUP BY latest_subscription_plan""",
+        "vw_corridor_top20": f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY total_volume_usd DESC, sender_country, receiver_country) AS BIGINT)
+            AS volume_rank, corridor, total_transfers, total_volume_usd, fraud_rate_pct, corridor_risk
+            FROM (SELECT * FROM {database}.mart_corridor_analytics
+              ORDER BY total_volume_usd DESC, sender_country, receiver_country LIMIT 20)""",
+    }
+
+
+def create_views(spark: SparkSession, database: str, names: Iterable[str] = tuple(VIEWS)) -> None:
+    """Create or replace the views in the catalog, over the marts that were written there: every session reads them by name,
+    and they show the marts of the last run."""
+    statements = view_statements(database)
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {statements[name]}")

@@ -24,6 +24,7 @@ from remitlens.session import prepare, scratch_path, settle
 from remitlens.sources import bindings, loads, readers, writers
 from remitlens.sources.bindings import plain_timestamps
 from remitlens.streaming import ingest, spool
+from remitlens.streaming.landed import LandedKeys, land_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +77,28 @@ def by_view_name(name: str) -> None:
 for _view in views.VIEWS:
     by_view_name(_view)
 
+
+
+@query("vw_lasting")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four views in the catalog, over written marts, read by a second session: a label and a figure of each row."""
+    tables, database = Warehouse.over(spark, sf_dir), _new_namespace(spark, "views_db")
+    run_models({name: tables[name] for name in schemas.RAW_TABLES}, catalog_store(database))
+    views.create_views(spark, database)
+    other = spark.newSession()
+    prepare(other)
+    shown = (
+        ("vw_fraud_summary", "fraud_risk_level", "exposure_usd"),
+        ("vw_customer_health", "customer_segment", "avg_health_score"),
+        ("vw_revenue_by_plan", "latest_subscription_plan", "avg_spend"),
+        ("vw_corridor_top20", "corridor", "total_volume_usd"),
+    )
+    return quality.stacked(
+        [other.table(f"{database}.{name}").select(F.lit(name).alias("view_name"), F.col(label).alias("label"), F.col(figure).alias("figure"))
+         for name, label, figure in shown]
+    )
+
+
 FRAUD, CUSTOMER, REVENUE = "mart_fraud_prevention", "mart_customer_360", "mart_revenue_analytics"
 NETWORK, CORRIDOR = "mart_network_quality", "mart_corridor_analytics"
 
@@ -332,6 +355,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_timestamps(appended)
 
 
+@query("sink_append_loads")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, each delivered twice: every load's rows are there once."""
+    table = f"{_new_namespace(spark, 'loads_db')}.raw_tickets"
+    tickets = Warehouse.over(spark, sf_dir)["raw_tickets"]
+    for load in ("even", "odd", "even", "odd"):
+        wanted = F.crc32("ticket_id") % 2 == ("even", "odd").index(load)
+        loaded = writers.append_load(tickets.where(wanted), table, load)
+    return plain_timestamps(loaded.table.drop(writers.LOAD_ID))
+
+
 @query("sink_csv")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exported ledger, read back."""
@@ -502,6 +536,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_timestamps(spark.read.schema(schemas.CDRS).parquet(f"{root}/out"))
 
 
+@query("stream_dedup_late")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the messages is delivered again after the state has forgotten them."""
+    root = scratch_path(spark, "stream-late")
+    landed = LandedKeys(spark, f"{root}/out", "call_id")
+    for delivery in _redelivered_calls(spark, sf_dir):
+        ingest.publish_messages(delivery, f"{root}/topic")
+        stream = ingest.consume_topic(spark, f"{root}/topic", schemas.CDRS, required=schemas.REQUIRED["raw_cdrs"])
+        unique = ingest.drop_redelivered(stream, "call_id", horizon="1 millisecond")
+        ingest.drain(land_once(unique, landed, f"{root}/checkpoint"))
+    return plain_timestamps(landed.rows(schemas.CDRS))
+
+
 @query("stream_staging")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-staging")

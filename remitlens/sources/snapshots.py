@@ -18,6 +18,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,12 +65,16 @@ class SnapshotStore:
         numbers = self._numbers()
         return self.snapshot(max(numbers)) if numbers else Snapshot()
 
-    def read(self, schema: T.StructType, snapshot: Snapshot | None = None) -> DataFrame:
-        """The rows of a snapshot, the newest one if none is named."""
+    def read(self, schema: T.StructType, snapshot: Snapshot | None = None, part: str | None = None) -> DataFrame:
+        """The rows of a snapshot, the newest one if none is named; of stores with several tables, those of one of them."""
         found = self.latest() if snapshot is None else snapshot
         if not found.folders:
             return self._spark.createDataFrame([], schema)
-        return self._spark.read.schema(schema).parquet(*[f"{self.root}/data/{name}" for name in found.folders])
+        if part is None:
+            return self._spark.read.schema(schema).parquet(*[f"{self.root}/data/{name}" for name in found.folders])
+        # Each folder may be partitioned below its part.
+        parts = [self._spark.read.schema(schema).parquet(f"{self.root}/data/{name}/{part}") for name in found.folders]
+        return reduce(DataFrame.unionByName, parts)
 
     def stage(self, df: DataFrame) -> tuple[str, int]:
         """Writes rows into a fresh folder, which no snapshot names yet; returns the folder and the rows in it."""
@@ -112,12 +117,50 @@ class SnapshotStore:
             except Conflict:
                 filesystem.remove(self._spark, f"{self.root}/data/{folder}")
 
+    def _stage_parts(self, parts: Mapping[str, DataFrame], partitioned: Mapping[str, str]) -> str:
+        name = uuid.uuid4().hex
+        for part, df in parts.items():
+            writer = df.write.mode("errorifexists")
+            if part in partitioned:
+                writer = df.repartition(partitioned[part]).write.mode("errorifexists").partitionBy(partitioned[part])
+            writer.parquet(f"{self.root}/data/{name}/{part}")
+        return name
+
+    def append_parts(
+        self, batch: DataFrame, parts: Callable[[Snapshot], Mapping[str, DataFrame]], writer: str, number: int, partitioned: Mapping[str, str]
+    ) -> Snapshot:
+        """``append_batch`` for several tables that become visible together; they are made from the snapshot they are added to."""
+        while True:
+            base = self.latest()
+            if base.marks.get(writer, -1) >= number:
+                batch.write.format("noop").mode("overwrite").save()
+                return base
+            folder = self._stage_parts(parts(base), partitioned)
+            try:
+                return self.commit(base, (*base.folders, folder), {**base.marks, writer: number})
+            except Conflict:
+                filesystem.remove(self._spark, f"{self.root}/data/{folder}")
+
+    def compact_parts(
+        self, folds: Mapping[str, tuple[T.StructType, Callable[[DataFrame], DataFrame]]], partitioned: Mapping[str, str]
+    ) -> Snapshot:
+        """``compact`` for several tables."""
+        base = self.latest()
+        if len(base.folders) < 2:
+            return base
+        parts = {part: fold(self.read(schema, base, part)) for part, (schema, fold) in folds.items()}
+        return self._swap(base, self._stage_parts(parts, partitioned))
+
     def compact(self, schema: T.StructType, fold: Callable[[DataFrame], DataFrame]) -> Snapshot:
         """Folds the newest snapshot's folders into one. Batches that arrive meanwhile are kept beside it."""
         base = self.latest()
         if len(base.folders) < 2:
             return base
         folder, _ = self.stage(fold(self.read(schema, base)))
+        return self._swap(base, folder)
+
+    def _swap(self, base: Snapshot, folder: str) -> Snapshot:
+        """A snapshot with one folder in place of those of ``base``."""
         while True:
             now = self.latest()
             if not set(base.folders) <= set(now.folders):  # another compaction was faster

@@ -10,6 +10,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from remitlens.sources import filesystem
 from remitlens.sources.readers import as_json_arrays
@@ -72,7 +73,8 @@ def publish_table(df: DataFrame, table: str, bucket_by: str | None = None, bucke
     The rows are written as a table of another name in a folder of their own. A table of the same columns is then pointed to that
     folder, which is one change of the catalog; for other columns, or a table that is new, the written one takes over the name
     (a failure in between gives the former table its name back). Running queries go on reading the former rows, which
-    are removed by the replacement after the next. With buckets, joins and groupings on the bucket column read the
+    are removed by the replacement after the next; so do other sessions that have read the table, until they refresh it (Spark
+    keeps what it knows of a table per session). With buckets, joins and groupings on the bucket column read the
     table without a shuffle.
     """
     spark = df.sparkSession
@@ -153,6 +155,38 @@ def add_rows(df: DataFrame, table: str) -> Written:
     return Written(spark.table(table), total)
 
 
+#: Partition column of tables whose loads may be repeated.
+LOAD_ID = "load_id"
+
+
+def append_load(df: DataFrame, table: str, load_id: str) -> Written:
+    """Add the rows of a load to a table that is partitioned by load; the same load again replaces its own rows and no others.
+
+    The rows are those of the load. A load that is cut short leaves the partition as it was, until the job commits.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn(LOAD_ID, F.lit(load_id))
+    if not spark.catalog.tableExists(table):
+        # Empty at first, so that a first load that fails leaves a table without rows and may be repeated like any other.
+        rows.limit(0).write.format("parquet").partitionBy(LOAD_ID).saveAsTable(table)
+    expected = [field.name for field in spark.table(table).schema.fields]
+    if expected != rows.columns:
+        raise ValueError(f"{table} has the columns {expected}, the load has {rows.columns}")
+
+    folder = _folder(spark, table)
+
+    def write(out: DataFrame) -> None:
+        # Dynamic: partitions are replaced as the job commits, and only those that it wrote.
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_ID).parquet(folder)
+
+    added = counted_write(rows, write)
+    quoted = load_id.replace("\\", "\\\\").replace("'", "\\'")
+    step = "ADD IF NOT EXISTS" if added else "DROP IF EXISTS"  # a load without rows writes no partition
+    spark.sql(f"ALTER TABLE {table} {step} PARTITION ({LOAD_ID} = '{quoted}')")
+    spark.catalog.refreshTable(table)
+    return Written(spark.table(table), added)
+
+
 def append_table(df: DataFrame, table: str) -> DataFrame:
     """``add_rows``, and the table it gives."""
     return add_rows(df, table).table

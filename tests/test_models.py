@@ -244,6 +244,28 @@ def test_views_are_queryable_by_name(spark, tables):
     assert spark.sql("SELECT MAX(volume_rank) FROM vw_corridor_top20").first()[0] == 20
 
 
+def test_views_outlive_the_session(spark, tables, tmp_path):
+    database = "lasting_views"
+    create_namespace(spark, database, str(tmp_path / "db"))
+    raw = raw_inputs(tables)
+    run_models(raw, catalog_store(database))
+    views.create_views(spark, database)
+    second = spark.newSession()
+    for name, (build, mart) in views.VIEWS.items():
+        want, got = build(tables[mart]), second.sql(f"SELECT * FROM {database}.{name}")
+        assert got.columns == want.columns and [f.dataType for f in got.schema.fields] == [f.dataType for f in want.schema.fields]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # They show the tables of the last run, and may be created again.
+    run_models({**raw, "raw_payments": raw["raw_payments"].limit(0)}, catalog_store(database))
+    views.create_views(spark, database)
+    # A session that has read a table keeps to the rows it knows until it is told to look again.
+    assert second.sql(f"SELECT COUNT(*) FROM {database}.vw_revenue_by_plan").first()[0] == 5
+    second.catalog.refreshTable(f"{database}.mart_revenue_analytics")
+    assert second.sql(f"SELECT COUNT(*) FROM {database}.vw_revenue_by_plan").first()[0] == 0
+    assert spark.newSession().sql(f"SELECT COUNT(*) FROM {database}.vw_revenue_by_plan").first()[0] == 0
+    assert second.sql(f"SELECT SUM(users) FROM {database}.vw_fraud_summary").first()[0] == 149
+
+
 def test_call_facts_of_one_hot_user(spark):
     raw = spark.range(9000).select(
         F.concat(F.lit("C"), "id").alias("call_id"),

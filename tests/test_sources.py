@@ -257,3 +257,29 @@ def test_folders_are_replaced_when_complete(spark, tmp_path):
     (tmp_path / "f").rename(tmp_path / "f.was")  # as a call leaves it that is cut between its renames
     assert writers.replace_files(spark.range(6), path).count() == 6
     assert [p.name for p in tmp_path.iterdir()] == ["f"]
+
+
+def test_a_repeated_load_has_its_rows_once(spark, database):
+    table = f"{database}.t"
+
+    def load(name, numbers):
+        rows = spark.range(*numbers).withColumn("text", F.lit(name))
+        return writers.append_load(rows, table, name).rows
+
+    def held():
+        return {r.load_id: r["count"] for r in spark.table(table).groupBy("load_id").count().collect()}
+
+    assert [load("a", (5,)), load("b'1 \\ x", (3,)), load("a", (5,))] == [5, 3, 5]
+    assert held() == {"a": 5, "b'1 \\ x": 3}
+    broken = _broken(spark).withColumn("text", F.lit("a"))
+    with pytest.raises(Exception, match="half way"):
+        writers.append_load(broken, table, "a")
+    with pytest.raises(Exception, match="half way"):
+        writers.append_load(broken, table, "c")
+    assert held() == {"a": 5, "b'1 \\ x": 3}
+    assert load("a", (2, 4)) == 2 and held() == {"a": 2, "b'1 \\ x": 3}
+    assert load("a", (0,)) == 0 and held() == {"b'1 \\ x": 3}
+    with pytest.raises(ValueError, match="has the columns"):
+        writers.append_load(spark.range(3), table, "d")
+    assert writers.add_rows(spark.range(3), f"{database}.plain").rows == 3
+    assert writers.add_rows(spark.range(3), f"{database}.plain").rows == 6  # a plain append repeats

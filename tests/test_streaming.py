@@ -12,6 +12,7 @@ from remitlens.plans.models import Warehouse
 from remitlens.sources import filesystem
 from remitlens.sources.snapshots import Conflict, SnapshotStore
 from remitlens.streaming import ingest, spool
+from remitlens.streaming.landed import LandedKeys, filter_of, land_once, merged_filter, suspects
 
 
 @pytest.fixture
@@ -332,3 +333,54 @@ def test_a_lost_position_fails_loudly(tmp_path):
     slices = reader.partitions({"message": 1}, {"message": 4})
     assert [batch.column(0).to_pylist() for part in slices for batch in reader.read(part)] == [["b", "c", "d"]]
     assert spool.SpoolReader(spool.spool_options(str(tmp_path), "s", 2)).latestOffset() == {"message": 5}
+
+
+@pytest.mark.parametrize("blocks", [1, 64])
+def test_copies_after_the_horizon_are_dropped(spark, calls, tmp_path, blocks):
+    """The state has forgotten the keys; the landed keys have not. One block for all keys suspects more and drops no more."""
+    topic, out, checkpoint = (str(tmp_path / part) for part in ("topic", "out", "checkpoint"))
+    landed = LandedKeys(spark, out, "call_id", blocks=blocks, buckets=8)
+
+    def deliver(rows):
+        ingest.publish_messages(rows, topic)
+        stream = ingest.consume_topic(spark, topic, schemas.CDRS)
+        query = land_once(ingest.drop_redelivered(stream, "call_id", horizon="1 millisecond"), landed, checkpoint)
+        ingest.drain(query)
+        return max((p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]), default=0)
+
+    first, second = calls.where(F.crc32("call_id") % 2 == 0), calls.where(F.crc32("call_id") % 2 == 1)
+    deliver(first)
+    states = [deliver(rows) for rows in (first.where(F.crc32("call_id") % 3 == 0), first.unionByName(second))]
+    assert max(states) <= calls.count() + first.count()  # state holds the last batches, not all that ever came
+    assert equal(landed.rows(schemas.CDRS), calls)
+    landed.compact(schemas.CDRS)
+    assert len(landed.store.latest().folders) == 1 and equal(landed.rows(schemas.CDRS), calls)
+    deliver(second.limit(40))
+    assert equal(landed.rows(schemas.CDRS), calls)
+
+
+def test_the_filter_misses_no_key_and_suspects_few(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("K"), "id").alias("key"), F.lit(0).alias("bucket"))
+    old, new = keys.where("substring(key, 2) % 2 = 0"), keys.where("substring(key, 2) % 2 = 1")
+    parts = filter_of(old.where(F.crc32("key") % 2 == 0), 8).unionByName(filter_of(old.where(F.crc32("key") % 2 == 1), 8))
+    bloom = merged_filter(parts)
+    assert bloom.count() == 8
+    assert suspects(old, bloom, 8).count() == 10_000
+    assert suspects(new, bloom, 8).count() < 200  # a hundredth is expected at the most
+    assert suspects(keys, filter_of(keys.limit(0), 8), 8).count() == 0
+
+
+def test_a_landing_that_fails_or_repeats(spark, tmp_path, monkeypatch):
+    landed = LandedKeys(spark, str(tmp_path / "out"), "id", blocks=2, buckets=4)
+    schema = spark.range(1).schema
+    landed.land(spark.range(10), "q", 0)
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="cut"):
+        patched.setattr(filesystem, "create", lambda *args: (_ for _ in ()).throw(OSError("cut")))
+        landed.land(spark.range(5, 20), "q", 1)
+    assert landed.rows(schema).count() == 10
+    for _ in range(2):
+        landed.land(spark.range(5, 20), "q", 1)
+        assert sorted(r.id for r in landed.rows(schema).collect()) == list(range(20))
+    landed.land(spark.range(3).unionByName(spark.range(3)), "another", 0)
+    landed.land(spark.range(0), "q", 2)
+    assert landed.rows(schema).count() == 20
