@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,12 +76,25 @@ def as_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]), JSON_TIMES)
 
 
+def _packer(records: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            held.extend(batch.column(0).to_pylist())
+            full = len(held) - len(held) % records
+            arrays = [f"[{','.join(held[at : at + records])}]" for at in range(0, full, records)]
+            held = held[full:]
+            yield pa.RecordBatch.from_arrays([pa.array(arrays, pa.string())], names=["value"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([f"[{','.join(held)}]"])], names=["value"])
+
+    return pack
+
+
 def as_json_arrays(df: DataFrame, records_per_array: int) -> DataFrame:
     """Pack rows into JSON arrays of at most ``records_per_array`` records, one array per output row.
 
-    Rows are numbered within their input partition, so no group ever exceeds the given size.
+    Rows are packed where they are: each task joins the documents of its partition as they pass, so nothing is shuffled, and no
+    more than an array and a batch of rows is held. Only the last array of a partition is shorter.
     """
-    numbered = df.select(as_json(df).alias("doc"), F.monotonically_increasing_id().alias("n"))
-    batch = F.floor(F.col("n") / records_per_array)
-    packed = numbered.groupBy(batch.alias("batch")).agg(F.collect_list("doc").alias("docs"))
-    return packed.select(F.concat(F.lit("["), F.concat_ws(",", "docs"), F.lit("]")).alias("value"))
+    return df.select(as_json(df).alias("value")).mapInArrow(_packer(records_per_array), "value string")

@@ -91,6 +91,17 @@ def test_arrays_hold_at_most_the_given_number_of_records(spark, tmp_path):
     assert max(sizes) <= 100 and sum(sizes) == 1050
 
 
+@pytest.mark.parametrize("records", [1, 7, 100, 5000])
+def test_arrays_are_packed_without_a_shuffle(spark, records):
+    source = spark.range(0, 3000, 1, 4).select(F.col("id").cast("string").alias("ticket_id"), F.lit(None).cast("string").alias("user_id"))
+    packed = readers.as_json_arrays(source, records)
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    arrays = [json.loads(r[0]) for r in packed.collect()]
+    assert sorted(int(d["ticket_id"]) for a in arrays for d in a) == list(range(3000))
+    assert max(map(len, arrays)) <= records and sum(len(a) < records for a in arrays) <= 4
+    assert readers.as_json_arrays(source.limit(0), records).count() == 0
+
+
 def test_append_repeats_and_overwrite_replaces(spark, tmp_path):
     df = spark.range(10)
     for _ in range(2):
