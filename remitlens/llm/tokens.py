@@ -38,8 +38,10 @@ SEGMENT_IDS = 1 << 20
 #: Bytes of text of a part of the file.
 PART_BYTES = 16 << 20
 #: Encoded words that a worker remembers, and that the library gets as one text.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 JOINED = 2_000
+#: First words of texts are remembered up to this length.
+LONGEST_HEAD = 40
 #: Fixed value: how byte-level vocabularies write the space.
 SPACE_LETTER = "\u0120"
 #: The bases of so many parts of a file are sent to every worker; beyond that they are joined.
@@ -70,7 +72,7 @@ class WordEncoder:
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_LETTER) for i in range(size)])
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.unsafe: set[str] = set()
+        self.heads: dict[str, bytes] = {}
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if token.content]
         # An added token may also be looked for in the normalized text.
         self.normalize = self.tokenizer.normalizer.normalize_str if self.added and self.tokenizer.normalizer else None
@@ -97,33 +99,48 @@ class WordEncoder:
                 raise ValueError("the tokenizer does not start each word with its space")
             self.known.update(zip(own, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
 
+    def _first_words(self, words: list[str]) -> list[bytes]:
+        """The ids of texts without a space; short ones are remembered."""
+        heads = self.heads
+        if len(heads) > REMEMBERED // 4:
+            heads.clear()
+        fresh = [word for word in dict.fromkeys(words) if word not in heads]
+        found = dict(zip(fresh, [ids.tobytes() for ids in self._library(fresh)], strict=True))
+        heads.update((word, ids) for word, ids in found.items() if len(word) <= LONGEST_HEAD)
+        return [heads[word] if word in heads else found[word] for word in words]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED // 2:
             self.older, self.known = self.known, {}
-        known, older, unsafe = self.known, self.older, self.unsafe
+        known, older = self.known, self.older
         # A text with an added token is one part; a single part goes to the library as it is.
         split = [[text] if self._has_added(text) else text.split(" ") for text in texts]
-        seen: set[str] = set()
-        for parts in split:
-            if len(parts) > 1:
-                seen.update(parts)
-        fresh = []
-        for word in seen.difference(known):
-            if word in older:
-                known[word] = older[word]
-            elif not word or word[-1].isspace():
-                unsafe.add(word)
-            else:
-                fresh.append(word)
-        self._learn(fresh)
-        heads = self._library([parts[0] for parts in split])
+        heads = self._first_words([parts[0] for parts in split])
+        found, holes, fresh, whole = [], [], {}, {}
+        for number, (parts, head) in enumerate(zip(split, heads, strict=True)):
+            ids = list(map(known.get, parts))
+            ids[0] = head
+            found.append(ids)
+            open_places = [i for i, word_ids in enumerate(ids) if word_ids is None] if None in ids else []
+            holes.append(open_places)
+            for i in open_places:
+                word = parts[i]
+                if word in older:
+                    known[word] = older[word]
+                elif not word or word[-1].isspace():
+                    whole[number] = None
+                else:
+                    fresh[word] = None
+        self._learn(list(fresh))
+        whole.update(zip(whole, self._library([texts[number] for number in whole]), strict=True))
         out = []
-        for text, parts, head in zip(texts, split, heads, strict=True):
-            if unsafe.isdisjoint(parts):
-                out.append(head.tobytes() + b"".join([known[word] for word in parts[1:]]))
-            else:
-                out.append(self._library([text])[0].tobytes())
-        unsafe.clear()
+        for number, (parts, ids, open_places) in enumerate(zip(split, found, holes, strict=True)):
+            if number in whole:
+                out.append(whole[number].tobytes())
+                continue
+            for i in open_places:
+                ids[i] = known[parts[i]]
+            out.append(b"".join(ids))
         return out
 
 
