@@ -5,8 +5,9 @@ language is written. Each word of a text is scored in all languages at once: the
 the script narrows the candidates, and the n-grams of the word score them. Viterbi over the words, with a penalty for
 each change of language, labels the spans; the language with most letters names the text.
 
-NULL texts and texts without letters are ``und`` with score 0 and no spans. A word in a script of no learned language
-scores alike in all. Ties go to the language first in alphabetical order. Repeated rows are labelled alike;
+NULL texts and texts without letters are ``und`` with score 0 and no spans. Letters are counted one by one, also in words with
+other signs (``x²``). A word in a script of no learned language scores alike in all and speaks for none: its letters lower the score of the
+text, to 0 if there are no others. A text of any length is labelled whole. Ties go to the language first in alphabetical order. Repeated rows are labelled alike;
 other columns are ignored; an empty table gives an empty result. Without any labelled row nothing is learned, and
 every text is ``und``.
 """
@@ -199,7 +200,7 @@ class Labeller:
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.model.languages)), np.float32)
-        self.letters = np.zeros(0, np.int64)
+        self.letters = np.zeros((0, 2), np.int64)
 
     def _learn(self, words: set[str]) -> None:
         if len(self.numbers) > REMEMBERED:
@@ -218,18 +219,19 @@ class Labeller:
         scores = np.where(known[:, None], scores - scores.max(axis=1, keepdims=True, initial=-np.inf), 0)
         self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + size), strict=True))
         self.scores = np.concatenate([self.scores, scores.astype(np.float32)])
-        alphabetic = np.array([word.isalpha() for word in fresh])
-        self.letters = np.concatenate([self.letters, np.where(alphabetic, [len(w) for w in fresh], 0)])
+        # Letters, and those of them that speak for a language: a word in a script of none speaks for none.
+        letters = np.array([len(word) if word.isalpha() else sum(map(str.isalpha, word)) for word in fresh])
+        self.letters = np.concatenate([self.letters, np.stack([letters, np.where(known, letters, 0)], axis=1)])
 
     def label(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The label of each word of each text, and the letters of each word."""
+        """The label of each word of each text, and its letters: all of them, and those that speak for a language."""
         split = [_WORD.findall(text.lower()) for text in texts]
         self._learn(set().union(*split))
         lengths = np.array([len(words) for words in split], np.int64)
         get = self.numbers.__getitem__
         numbers = np.fromiter((n for words in split for n in map(get, words)), np.int64, int(lengths.sum()))
         letters = self.letters[numbers]
-        labels = viterbi(self.scores[numbers], lengths, self.switch) if len(self.model.languages) else letters * 0
+        labels = viterbi(self.scores[numbers], lengths, self.switch) if len(self.model.languages) else numbers * 0
         cuts = np.cumsum(lengths)[:-1]
         return np.split(labels, cuts), np.split(letters, cuts)
 
@@ -250,10 +252,10 @@ def _spans(text: str, labels: np.ndarray, languages: tuple[str, ...]) -> list[di
 
 
 def _decisions(labels: np.ndarray, letters: np.ndarray, languages: tuple[str, ...]) -> tuple[str, float]:
-    total = int(letters.sum())
+    total, speaking = int(letters[:, 0].sum()), letters[:, 1]
     if not total or not languages:
         return UNKNOWN, 0.0
-    by_language = np.bincount(labels, letters, len(languages))
+    by_language = np.bincount(labels, speaking, len(languages))
     best = int(by_language.argmax())
     return languages[best], float(by_language[best] / total)
 
