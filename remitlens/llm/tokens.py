@@ -290,25 +290,51 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(_read_documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def _places(row: dict, doc_id: int, is_null: int) -> list[tuple[int, int]]:
+    """Offset and length of every row of an id in a segment. Its rows are numbered, and those of a segment follow each other; each
+    number is one look-up."""
+    first = np.frombuffer(row["first"], "<i8")
+    number = int(first[1]) if (first[0], first[2]) == (doc_id, is_null) else 0
+    found, at_once = [], 4
+    while True:
+        keys = np.array([(doc_id, number + i, is_null) for i in range(at_once)], "<i8")
+        offsets, lengths = locate(row, keys)
+        hits = int(np.argmin(np.append(offsets >= 0, False)))
+        found += zip(offsets[:hits].tolist(), lengths[:hits].tolist(), strict=True)
+        if hits < at_once:
+            return found
+        number, at_once = number + at_once, min(at_once * 2, 4096)
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            keys = np.array([(k, 0, 0) for k in row["asked"]], "<i8").reshape(-1, 3)
-            offsets, lengths = locate(row, keys)
             ids = np.frombuffer(row["payload"], f"<u{row['width']}")
-            found = [(k, ids[a : a + n].tolist()) for k, a, n in zip(row["asked"], offsets.tolist(), lengths.tolist(), strict=True) if a >= 0]
+            asked = [(k, k, 0) for k in row["asked"]] + ([(None, 0, 1)] if row["with_null"] else [])
+            found = [(name, ids[a : a + n].tolist()) for name, k, null in asked for a, n in _places(row, k, null)]
             yield pa.RecordBatch.from_pylist(
                 [{"doc_id": k, "ids": v} for k, v in found],
                 pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int64()))]),
             )
 
 
-def fetch(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """The ids of some documents: the directory names their segments, whose hashes give their offsets."""
-    wanted = F.array(*[F.lit(int(k)).cast("long") for k in sorted(set(doc_ids))])
+def fetch(spark: SparkSession, path: str, doc_ids: list[int], with_null: bool = False) -> DataFrame:
+    """The ids of all rows with some doc_ids, and of those without one if ``with_null``.
+
+    The directory columns name the parts that can hold them, at most one per doc_id and the first for NULL; only row groups of these
+    are read, and a segment's hash gives the offsets.
+    """
+    wanted = F.array(*[F.lit(int(k)) for k in sorted(set(doc_ids))]).cast("array<bigint>")
     inside = F.filter(wanted, lambda k: (k >= F.col("first_key")) & (k <= F.col("last_key")))
-    rows = _read_file(spark, path).withColumn("asked", inside).where(F.size("asked") > 0)
-    return rows.select("asked", "hash", "slots", "width", "payload").mapInArrow(_fetch, "doc_id long, ids array<long>")
+    file = _read_file(spark, path).withColumns({"asked": F.coalesce(inside, F.array().cast("array<bigint>")), "with_null": F.lit(with_null)})
+    named = F.size("asked") > 0
+    parts = [row[0] for row in file.where(named).select("part").distinct().collect()]
+    if with_null:  # they sort first
+        parts.append(file.agg(F.min("part")).first()[0])
+        named = named | (F.col("part") == F.lit(parts[-1]))
+    rows = file.where(F.col("part").isin([part for part in parts if part is not None])).where(named)
+    columns = ("asked", "with_null", "hash", "slots", "width", "payload", F.substring("keys", 1, 24).alias("first"))
+    return rows.select(*columns).mapInArrow(_fetch, "doc_id long, ids array<long>")
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

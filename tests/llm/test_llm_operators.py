@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import plain
@@ -240,6 +241,16 @@ def test_token_files(spark, tmp_path):
     assert set(fetched) == {0, 53, 59}
     text = next(t for d, t in ROWS if d == 53)
     assert fetched[53][-1] == 0 and library.decode(fetched[53][:-1]) == text
+    # All rows of a repeated id, and of NULL, also where they go on in the next segment.
+    rows = [*REPEATED, *[(7, f"copy {i} " * 60) for i in range(40)], *[(None, f"nameless {i} " * 60) for i in range(9)]]
+    path = str(tmp_path / "repeated")
+    tokens.write_token_files(frame(spark, rows), path, BPE, parts=3, segment_ids=300)
+    found = tokens.fetch(spark, path, [3, 4, 7, 777], with_null=True)
+    expected = [(d, (*library.encode(t or "", add_special_tokens=False).ids, 0)) for d, t in rows if d in (3, 4, 7, None)]
+    assert Counter((r.doc_id, tuple(r.ids)) for r in found.collect()) == Counter(expected)
+    plan = tokens.fetch(spark, path, [7])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(part" in plan or "PushedFilters: [EqualTo(part" in plan or "EqualTo(part" in plan
+    assert tokens.fetch(spark, path, []).count() == 0
 
 
 @settings(max_examples=200, deadline=None)
