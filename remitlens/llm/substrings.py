@@ -32,7 +32,7 @@ _GEAR = random_table(256, 51).astype(np.uint32)
 #: A long text is hashed in pieces; each sees so much of what surrounds it that its cuts are those of the whole text.
 PIECE_BYTES = 1 << 20
 
-CHUNKS = "doc_id long, key int, d1 long, d2 long, start int, stop int, again boolean"
+CHUNKS = "doc_id long, key long, d1 long, d2 long, start int, stop int, again boolean"
 
 
 def gear_hashes(codes: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ def _chunker(radius: int) -> Callable:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int32()),
+                    pa.array(columns[1], pa.int64()),
                     pa.array(np.ascontiguousarray(halves[:, 0])),
                     pa.array(np.ascontiguousarray(halves[:, 1])),
                     pa.array(columns[2], pa.int32()),
@@ -128,7 +128,7 @@ def repeated_chunks(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     repeated = F.col("again") | F.coalesce(rank > F.col("first"), F.lit(False))
     found = joined.where(repeated).select("doc_id", "key", F.struct("start", "stop").alias("span"))
     return found.groupBy(F.col("doc_id").alias("span_id"), F.col("key").alias("span_key")).agg(
-        F.collect_list("span").alias("spans")
+        F.collect_set("span").alias("spans")
     )
 
 

@@ -42,7 +42,7 @@ _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOW = np.uint64((1 << 20) - 1)
 
-ANCHORS = "doc_id long, key int, a long, n long, low int, high int, at int"
+ANCHORS = "doc_id long, key long, a long, n long, low int, high int, at int"
 FETCHED = ("copies", "size", "reach", "width", "body")
 NEIGHBOURS = "a long, n long, copies long, size long, reach int, width int, body binary"
 
@@ -77,8 +77,9 @@ def _least_of(values: np.ndarray, width: int) -> np.ndarray:
 def _neighbourhoods(text: bytes, length: int, anchor: int) -> tuple[np.ndarray, ...]:
     """Anchor hash, neighbourhood hash, first and last string, and place of the anchor, of each neighbourhood."""
     parts = []
-    for first in range(0, len(text) - length + 1, PIECE):
-        codes = np.frombuffer(text[first : first + PIECE + length - 1], np.uint8)
+    piece = PIECE - (length - anchor)  # so many strings, that their anchors have at most PIECE places, which the low bits tell apart
+    for first in range(0, len(text) - length + 1, piece):
+        codes = np.frombuffer(text[first : first + piece + length - 1], np.uint8)
         hashes = PrefixHashes(codes)
         starts = np.arange(len(codes) - anchor + 1)
         grams = mix(hashes.of(starts, starts + anchor))
@@ -111,7 +112,7 @@ def _anchor_batches(length: int, anchor: int) -> Callable:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64()),
-                        pa.array(keys, pa.int32()),
+                        pa.array(keys, pa.int64()),
                         pa.array(a),
                         pa.array(n),
                         *[pa.array(x.astype(np.int32)) for x in (low, high, at)],
@@ -376,7 +377,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
         marks.where("whole").select("doc_id", "key", F.col("low").alias("start"), (F.col("high") + length).alias("stop"))
     )
     return spans.groupBy(F.col("doc_id").alias("span_id"), F.col("key").alias("span_key")).agg(
-        F.collect_list(F.struct("start", "stop")).alias("spans")
+        F.collect_set(F.struct("start", "stop")).alias("spans")
     )
 
 

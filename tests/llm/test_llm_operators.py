@@ -408,6 +408,28 @@ def test_languages(spark):
     assert {r.lang_pred for r in language.identify(frame(spark, ROWS), nothing).collect()} == {"und"}
 
 
+def test_repeats_around_a_megabyte(spark):
+    """Runs of several periods that begin before, at and behind the place where a long text is cut into pieces."""
+    rng, rows = np.random.default_rng(12), []
+    for number, (period, start) in enumerate([(1, 1_048_476), (1, (1 << 20) - 65), (2, (1 << 20) + 3), (7, (1 << 20) - 700), (90, (1 << 21) - 400)]):
+        noise = rng.integers(97, 123, start + 300, dtype=np.uint8).tobytes().decode()
+        unit = rng.integers(65, 91, period, dtype=np.uint8).tobytes().decode()
+        rows.append((number, noise[:start] + (unit * 1000)[:1000] + noise[start:]))
+    found = suffixes.cut_repeated_strings(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_spans) for r in found) == [(i, 1000, 1) for i in range(5)]
+
+
+def test_texts_without_an_id_keep_their_own_spans(spark):
+    """Many texts share NULL; the rows that hold a repeat lose it, and no other row loses anything."""
+    rng = random.Random(3)
+    alone = [_phrase(rng, 60) for _ in range(300)]
+    shared = _phrase(rng, 80)
+    texts = [*alone, *[f"{_phrase(rng, 5)} {shared} {_phrase(rng, 5)}" for _ in range(4)], *alone[:2]]
+    rows = [(None, text) for text in texts]
+    found = suffixes.cut_repeated_strings(frame(spark, rows))
+    assert got(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want(plain.repeated_strings(rows, 200))
+
+
 def test_language_scripts(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("добрый день мир", "ru"), ("good day world", "en"), ("καλημέρα κόσμε", "el")] * 3)]
     model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
