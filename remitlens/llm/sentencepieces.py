@@ -34,8 +34,8 @@ BLANK_MARK = "▁"
 NEVER_MERGED = -1e6
 #: A byte piece scores this much below the worst other piece.
 BYTE_PENALTY = 10.0
-#: Units that a worker remembers during a task, and from one task to the next (some 45 MB).
-REMEMBERED, KEPT = 400_000, 150_000
+#: Units that a worker remembers during a task, and from one task to the next (some 90 MB).
+REMEMBERED, KEPT = 600_000, 300_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 ENCODED = (
@@ -167,22 +167,23 @@ class PieceModel:
         if len(self.known) > REMEMBERED // 2:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        rows = []
-        for unit in units:
-            row = known.get(unit)
-            if row is None:
-                row = known[unit] = older.get(unit) or self.unit(unit)
-            rows.append(row)
-        score = sum([row[1] for row in rows])
-        out = [(score, b"".join([row[0] for row in rows]))]
+        rows = list(map(known.get, units))
+        if None in rows:
+            for i, row in enumerate(rows):
+                if row is None:
+                    unit = units[i]
+                    row = known.get(unit) or older.get(unit) or self.unit(unit)
+                    rows[i] = known[unit] = row
+        ids, scores, gaps = zip(*rows, strict=True)
+        score = sum(scores)
+        out = [(score, b"".join(ids))]
         if n > 1:
-            out += self._runners_up(units, rows, score, n)
+            out += self._runners_up(units, ids, gaps, score, n)
         return out
 
-    def _runners_up(self, units: list[str], rows: list, score: float, n: int) -> list[tuple[float, bytes]]:
+    def _runners_up(self, units: list[str], ids: tuple, gaps: tuple, score: float, n: int) -> list[tuple[float, bytes]]:
         """The other n - 1 segmentations: only the n - 1 units whose second segmentation costs least can differ."""
-        gaps = [row[2] for row in rows]
-        open_units = [i for i in heapq.nsmallest(n - 1, range(len(rows)), key=gaps.__getitem__) if gaps[i] != float("inf")]
+        open_units = [i for i in heapq.nsmallest(n - 1, range(len(gaps)), key=gaps.__getitem__) if gaps[i] != float("inf")]
         choices = [self.nbest(units[i], n) for i in open_units]
         heap = [(0.0, (0,) * len(choices))]
         seen, out = {heap[0][1]}, []
@@ -194,7 +195,6 @@ class PieceModel:
                 if nxt[k] < len(choices[k]) and nxt not in seen:
                     seen.add(nxt)
                     heapq.heappush(heap, (sum(c[0][0] - c[j][0] for c, j in zip(choices, nxt, strict=True)), nxt))
-        ids = [row[0] for row in rows]
         result = []
         for cost, chosen in out[1:]:
             own = list(ids)
