@@ -6,11 +6,11 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from remitlens.plans.models import MODELS
 from remitlens.schemas import FACT_TABLES, LAYERS
+from remitlens.sources.observed import RowCounts
 from remitlens.sources.snapshots import SnapshotStore
 from remitlens.sources.writers import Written, publish_table
 
@@ -51,11 +51,15 @@ def catalog_store(database: str, fact_buckets: int | None = None) -> SaveTable:
     return save
 
 
-def counted_inputs(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], Callable[[], dict[str, int]]]:
-    """The raw tables, whose rows are counted by the first job that reads each, and the counts so far."""
-    seen = {name: Observation() for name in raw}
-    observed = {name: df.observe(seen[name], F.count(F.lit(1)).alias("rows")) for name, df in raw.items()}
-    return observed, lambda: {name: seen[name].get["rows"] for name in raw}
+def run_counted(
+    raw: Mapping[str, DataFrame], save: SaveTable, workers: int = WORKERS
+) -> tuple[dict[str, DataFrame], list[ModelRun], dict[str, int]]:
+    """``run_models``, and the rows of the raw tables, as counted by the first job that reads each."""
+    spark = next(iter(raw.values())).sparkSession
+    with RowCounts(spark) as counts:
+        tables, runs = run_models({name: counts.observed(df, name) for name, df in raw.items()}, save, workers)
+        known = {name: counts.rows(name) for name in raw}
+    return {**tables, **raw}, runs, {name: rows for name, rows in known.items() if rows is not None}
 
 
 def run_models(

@@ -18,7 +18,7 @@ from remitlens.operators import filters, profiling, quality, ranking
 from remitlens.operators.dedup import first_per_key
 from remitlens.plans import reports, views
 from remitlens.plans.models import MODELS, Warehouse
-from remitlens.plans.runner import catalog_store, counted_inputs, file_store, run_models, run_summary
+from remitlens.plans.runner import catalog_store, file_store, run_counted, run_models, run_summary
 from remitlens.plans.staging import stg_cdrs
 from remitlens.session import prepare, scratch_path, settle
 from remitlens.sources import bindings, loads, readers, writers
@@ -404,12 +404,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 17 tables, the models as a run wrote them into the catalog, and one that nobody wrote. Every table is counted by the job
     that reads or writes it anyhow."""
     tables, database = Warehouse.over(spark, sf_dir), _new_namespace(spark, "catalog")
-    raw, counts = counted_inputs({name: tables[name] for name in schemas.RAW_TABLES})
-    _, runs = run_models(raw, catalog_store(database))
+    raw = {name: tables[name] for name in schemas.RAW_TABLES}
+    _, runs, read = run_counted(raw, catalog_store(database))
     layers = {**schemas.LAYERS, "mart_not_built": "MART"}
     models = quality.catalog_tables(spark, database, [name for name in layers if name not in raw])
     written = {run.model: run.rows for run in runs if run.status == "PASS"}
-    return quality.non_empty_check({**raw, **models}, layers, {**counts(), **written})
+    return quality.non_empty_check({**raw, **models}, layers, {**read, **written})
 
 
 @query("model_run_summary")

@@ -20,11 +20,12 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.sources import filesystem
+from remitlens.sources.observed import RowCounts
 
 
 class Conflict(RuntimeError):
@@ -38,11 +39,11 @@ class Snapshot:
     marks: Mapping[str, int] = field(default_factory=dict)
 
 
-def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Runs a write and returns its rows, as counted by the write itself."""
-    seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get.get("rows", 0)
+def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int | None:
+    """Runs a write and returns its rows, as counted by the write itself; None if it did not report them."""
+    with RowCounts(df.sparkSession) as counts:
+        write(counts.observed(df, "written"))
+        return counts.rows("written")
 
 
 class SnapshotStore:
@@ -79,7 +80,9 @@ class SnapshotStore:
     def stage(self, df: DataFrame) -> tuple[str, int]:
         """Writes rows into a fresh folder, which no snapshot names yet; returns the folder and the rows in it."""
         name = uuid.uuid4().hex
-        return name, counted_write(df, lambda rows: rows.write.mode("errorifexists").parquet(f"{self.root}/data/{name}"))
+        path = f"{self.root}/data/{name}"
+        rows = counted_write(df, lambda out: out.write.mode("errorifexists").parquet(path))
+        return name, self._spark.read.schema(df.schema).parquet(path).count() if rows is None else rows
 
     def commit(self, base: Snapshot, folders: tuple[str, ...], marks: Mapping[str, int] | None = None) -> Snapshot:
         """The next snapshot after ``base``; fails if there is one already."""

@@ -97,6 +97,7 @@ def publish_table(df: DataFrame, table: str, bucket_by: str | None = None, bucke
         _drop(spark, draft)
         filesystem.remove(spark, folder)
         raise
+    rows = spark.table(draft).count() if rows is None else rows
     # The count goes with the folder: it says nothing once the table points elsewhere.
     counted = {COUNTED_FOLDER: f"{name}-{mark}", COUNTED_ROWS: str(rows)}
     if not spark.catalog.tableExists(table):
@@ -150,7 +151,7 @@ def add_rows(df: DataFrame, table: str) -> Written:
     # Unknown until the write has ended: its rows may be there without having been counted.
     _set_properties(spark, table, {COUNTED_FOLDER: _folder(spark, table).rsplit("/", 1)[-1], COUNTED_ROWS: ""})
     added = counted_write(df, lambda rows: rows.write.mode("append").format("parquet").saveAsTable(table))
-    total = spark.table(table).count() if before is None else before + added
+    total = spark.table(table).count() if before is None or added is None else before + added
     _set_properties(spark, table, {COUNTED_ROWS: str(total)})
     return Written(spark.table(table), total)
 
@@ -180,6 +181,8 @@ def append_load(df: DataFrame, table: str, load_id: str) -> Written:
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_ID).parquet(folder)
 
     added = counted_write(rows, write)
+    if added is None:
+        added = rows.count()
     quoted = load_id.replace("\\", "\\\\").replace("'", "\\'")
     step = "ADD IF NOT EXISTS" if added else "DROP IF EXISTS"  # a load without rows writes no partition
     spark.sql(f"ALTER TABLE {table} {step} PARTITION ({LOAD_ID} = '{quoted}')")

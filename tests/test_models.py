@@ -13,7 +13,7 @@ from remitlens.operators.dedup import first_per_key
 from remitlens.plans import marts, staging, views
 from remitlens.plans.facts import fct_financial_transfers, fct_telecom_calls, transfer_totals
 from remitlens.plans.models import MODELS, Warehouse
-from remitlens.plans.runner import catalog_store, counted_inputs, file_store, run_models
+from remitlens.plans.runner import catalog_store, file_store, run_counted, run_models
 from remitlens.registry import QUERIES
 from remitlens.sources.snapshots import SnapshotStore
 from remitlens.sources.writers import create_namespace, known_rows
@@ -217,11 +217,11 @@ def test_a_failed_model_keeps_its_former_table(spark, tables, tmp_path, kind):
 
 def test_rows_of_a_run_are_counted_by_its_writes(spark, tables, tmp_path):
     """No job of a run or of the check reads a table only to count it."""
-    raw, counts = counted_inputs(raw_inputs(tables))
-    written, runs = run_models(raw, file_store(str(tmp_path)), workers=3)
+    raw = raw_inputs(tables)
+    written, runs, read = run_counted(raw, file_store(str(tmp_path)), workers=3)
     assert {run.model: run.rows for run in runs} == {name: written[name].count() for name in MODELS}
-    assert counts() == {name: tables[name].count() for name in schemas.RAW_TABLES}
-    known = {**counts(), **{run.model: run.rows for run in runs}}
+    assert read == {name: tables[name].count() for name in schemas.RAW_TABLES}
+    known = {**read, **{run.model: run.rows for run in runs}}
     check = quality.non_empty_check({**raw, **{name: written[name] for name in MODELS}, "mart_none": None}, {**schemas.LAYERS, "mart_none": "MART"}, known)
     assert "Scan parquet" not in check._jdf.queryExecution().executedPlan().toString()
     assert {row.status for row in check.collect() if row.table_name != "mart_none"} == {"OK"}
