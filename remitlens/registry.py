@@ -573,7 +573,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = spool.publish_to_spool(Warehouse.over(spark, sf_dir)["raw_cdrs"], f"{root}/spool")
     spool.register_spool(spark)
     for empty_pulls in (5, 2):
-        options = spool.spool_options(f"{root}/spool", "cdr", max_messages=max(5000, -(-expected // 4)))
+        options = spool.spool_options(f"{root}/spool", "cdr", max(5000, -(-expected // 4)), expected if expected else None)
         stream = ingest.consume_topic(spark, None, schemas.CDRS, source="spool", options=options, required=schemas.REQUIRED["raw_cdrs"])
         landing = ingest.json_landing(stream, f"{root}/landed", f"{root}/checkpoint")
         expected -= spool.pull_until(spark, landing, expected + 1 if empty_pulls == 2 else expected, empty_pulls, "100 milliseconds")

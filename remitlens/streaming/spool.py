@@ -66,7 +66,8 @@ class SpoolReader(DataSourceStreamReader):
         self._files, self._root = fs.FileSystem.from_uri(_as_uri(options["path"]))
         self._uri, self._most = _as_uri(options["path"]), int(options["maxmessages"])
         self._position_file = f"{self._root}/{_SUBSCRIPTIONS}/{options['subscription']}.json"
-        self._planned = self._read_position()
+        self._planned = self._begin = self._read_position()
+        self._expected = int(options["expected"]) if "expected" in options else None
 
     def _read_position(self) -> int:
         if self._files.get_file_info(self._position_file).type == fs.FileType.NotFound:
@@ -92,11 +93,13 @@ class SpoolReader(DataSourceStreamReader):
 
     def initialOffset(self) -> dict:
         # A new checkpoint starts from the first message, whatever the subscription did before.
-        self._planned = 0
+        self._planned = self._begin = 0
         return {"message": 0}
 
     def latestOffset(self) -> dict:
-        """The end of the next pull."""
+        """The end of the next pull; the last end again if this run has planned the expected messages."""
+        if self._expected is not None and self._planned - self._begin >= self._expected:
+            return {"message": self._planned}
         segments = self._segments()
         available = segments[-1][2] if segments else 0
         self._planned = max(self._planned, min(self._planned + self._most, available))
@@ -107,7 +110,7 @@ class SpoolReader(DataSourceStreamReader):
         if last < first:
             raise ValueError(f"the position of the subscription was lost: it is at {last}, the query is at {first}")
         # Before the pull is made: a restarted reader must not plan behind what the checkpoint knows.
-        self._planned = last
+        self._planned, self._begin = last, min(self._begin, first)
         self._write_position(last)
         slices = []
         for name, low, high in self._segments():
@@ -134,7 +137,7 @@ def _as_uri(path: str) -> str:
 
 
 class SpoolSource(DataSource):
-    """``spool``: options path, subscription and maxMessages (of a pull); a column ``value``."""
+    """``spool``: options path, subscription, maxMessages (of a pull) and expected (of a run, if bounded); a column ``value``."""
 
     @classmethod
     def name(cls) -> str:
@@ -151,8 +154,10 @@ def register_spool(spark: SparkSession) -> None:
     spark.dataSource.register(SpoolSource)
 
 
-def spool_options(path: str, subscription: str, max_messages: int = 100) -> dict[str, str]:
-    return {"path": path, "subscription": subscription, "maxMessages": str(max_messages)}
+def spool_options(path: str, subscription: str, max_messages: int = 100, expected: int | None = None) -> dict[str, str]:
+    """Options of the source. With ``expected`` a run plans no pull after the one that reaches that many messages."""
+    options = {"path": path, "subscription": subscription, "maxMessages": str(max_messages)}
+    return options if expected is None else {**options, "expected": str(expected)}
 
 
 class StopRules(StreamingQueryListener):
@@ -190,7 +195,8 @@ def pull_until(
     spark: SparkSession, writer: DataStreamWriter, expected: int | None, empty_pulls: int = 5, pause: str = "2 seconds"
 ) -> int:
     """Run a query until it has taken the expected number of messages, or that many pulls in a row were empty; returns the
-    messages taken. A failed query raises here. What a pull took beyond the expected number is kept."""
+    messages taken. A failed query raises here. What a pull took beyond the expected number is kept. Spark reports a pull a
+    little after it has ended; the source's own ``expected`` keeps it from planning another one meanwhile."""
     rules, interval = StopRules(expected, empty_pulls), "spark.sql.streaming.noDataProgressEventInterval"
     if expected is not None and expected <= 0:
         return 0

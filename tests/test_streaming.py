@@ -258,7 +258,7 @@ def pulled(spark, calls, tmp_path):
     assert spool.publish_to_spool(calls, path, segment=150) == 955
 
     def run(expected, empty_pulls=5):
-        options = spool.spool_options(path, "calls", max_messages=100)
+        options = spool.spool_options(path, "calls", max_messages=100, expected=expected)
         stream = ingest.consume_topic(spark, None, schemas.CDRS, source="spool", options=options)
         taken = spool.pull_until(spark, ingest.json_landing(stream, out, checkpoint), expected, empty_pulls, "100 milliseconds")
         return taken, spark.read.schema(schemas.CDRS).json(out).count()
@@ -328,6 +328,8 @@ def test_a_lost_position_fails_loudly(tmp_path):
     reader = spool.SpoolReader(spool.spool_options(str(tmp_path), "s", 2))
     assert reader.initialOffset() == {"message": 0}
     assert [reader.latestOffset()["message"] for _ in range(4)] == [2, 4, 5, 5]
+    bounded = spool.SpoolReader(spool.spool_options(str(tmp_path), "b", 2, expected=3))
+    assert [bounded.latestOffset()["message"] for _ in range(4)] == [2, 4, 4, 4]
     with pytest.raises(ValueError, match="position of the subscription was lost"):
         reader.partitions({"message": 5}, {"message": 2})
     slices = reader.partitions({"message": 1}, {"message": 4})
