@@ -242,10 +242,8 @@ def test_executive_figures_shuffle_the_transfers_once(spark, sf_dir):
     df = QUERIES["executive_kpis"](spark, sf_dir)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    shuffled = [line for line in plan.splitlines() if "FileScan" in line and "l_extendedprice" in line]
-    reused = [line for line in plan.splitlines() if "ReusedExchange [l_orderkey" in line]
-    # The plan of the subquery is printed more than once; each print has the one scan or the reuse of its exchange.
-    assert reused and len({line.split("FileScan")[1].split("]")[0] for line in shuffled}) == 1
+    # The shuffled transfers of the fraud mart serve the total of the raw transfers too.
+    assert any("ReusedExchange [l_orderkey" in line and "l_extendedprice" in line for line in plan.splitlines())
 
 
 def test_views_are_queryable_by_name(spark, tables):
