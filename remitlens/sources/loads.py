@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from remitlens.sources.readers import enforce_required, read_csv, read_json
+from remitlens.sources.readers import JSON_FILES, enforce_required, read_csv, read_json
 from remitlens.sources.writers import add_rows, publish_table
 
 TRUNCATE, APPEND = "truncate", "append"
@@ -20,7 +20,7 @@ def read_files(
     if kind == "csv":
         return read_csv(spark, path, schema)
     if kind == "json":
-        return read_json(spark, path, schema, multi_line=multi_line, glob=glob or "*.json")
+        return read_json(spark, path, schema, multi_line=multi_line, glob=glob or JSON_FILES)
     raise ValueError(f"unknown kind of files: {kind}")
 
 

@@ -14,14 +14,16 @@ from pyspark.sql import types as T
 # Instants keep their microseconds and their offset in text form.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
+JSON_FILES = "*.{json,json.gz}"
+
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = True, glob: str = "*.json"
+    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = True, glob: str = JSON_FILES
 ) -> DataFrame:
-    """All JSON files under a prefix, at any depth.
+    """All JSON files under a prefix, at any depth, plain or compressed by gzip.
 
     ``multi_line`` reads each file as one document, as an indented array of records needs. Without it every line
-    is a record or an array of records, and large files are split over tasks.
+    is a record or an array of records, and large plain files are split over tasks.
     """
     return (
         spark.read.schema(schema)

@@ -21,9 +21,13 @@ from remitlens.sources.readers import JSON_TIMES, as_json, enforce_required
 from remitlens.sources.snapshots import VERSION, Snapshot, SnapshotStore
 
 
-def publish_messages(df: DataFrame, topic: str) -> None:
-    """Write rows as one JSON message per line into a topic folder."""
-    df.select(as_json(df).alias("value")).write.mode("append").text(topic)
+def publish_messages(df: DataFrame, topic: str, messages_per_file: int = 200_000) -> None:
+    """Write rows as one JSON message per line into a topic folder.
+
+    Messages are compressed, as a broker keeps them. A compressed file is read by one task, so files are of bounded size.
+    """
+    writer = df.select(as_json(df).alias("value")).write.mode("append").option("compression", "lz4")
+    writer.option("maxRecordsPerFile", messages_per_file).text(topic)
 
 
 def parse_messages(messages: DataFrame, schema: T.StructType, required: Sequence[str] | None = None) -> DataFrame:
@@ -76,13 +80,16 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def json_landing(stream: DataFrame, out: str, checkpoint: str, records_per_file: int = 100_000) -> DataStreamWriter:
+def json_landing(
+    stream: DataFrame, out: str, checkpoint: str, records_per_file: int = 100_000, compression: str = "gzip"
+) -> DataStreamWriter:
     """A writer of JSON lines in files of bounded size, to be started with a trigger."""
     return (
         stream.writeStream.format("json")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", records_per_file)
+        .option("compression", compression)
         .options(**JSON_TIMES)
     )
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from remitlens import schemas
 from remitlens.plans.models import Warehouse
-from remitlens.sources import filesystem
+from remitlens.sources import filesystem, readers
+from remitlens.sources.loads import read_files
 from remitlens.sources.snapshots import Conflict, SnapshotStore
 from remitlens.streaming import ingest, spool
 from remitlens.streaming.landed import LandedKeys, filter_of, land_once, merged_filter, suspects
@@ -47,6 +48,20 @@ def test_landing_files_respect_the_record_limit(spark, calls, tmp_path):
     assert equal(landed, calls)
 
 
+def test_topics_and_landed_files_take_a_fraction_of_their_messages(spark, calls, tmp_path):
+    topic, out, checkpoint = (str(tmp_path / name) for name in ("topic", "out", "checkpoint"))
+    ingest.publish_messages(calls.coalesce(1), topic, messages_per_file=400)
+    messages = spark.read.text(topic)
+    assert messages.select(F.input_file_name()).distinct().count() == 3
+    ingest.drain(ingest.land_json(ingest.consume_topic(spark, topic, schemas.CDRS), out, checkpoint))
+    plain = messages.agg(F.sum(F.length("value") + 1)).first()[0]
+    for folder, kind in ((topic, "txt"), (out, "json")):
+        written = sum(path.stat().st_size for path in (tmp_path / folder).glob(f"part-*.{kind}*"))
+        assert 0 < written < plain / 2
+    assert equal(readers.read_json(spark, out, schemas.CDRS, multi_line=False), calls)
+    assert equal(read_files(spark, out, schemas.CDRS, multi_line=False), calls)
+
+
 def test_unreadable_message_fails_the_query(spark, tmp_path):
     topic = str(tmp_path / "topic")
     spark.createDataFrame([("{broken",)], "value string").write.text(topic)
