@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,20 @@ def test_models_learn_and_survive_saving(spark, table, tmp_path):
     assert fraud.feature_importance(spark, models[fraud.FOREST], top=5).count() == 5
 
 
+def test_classifiers_are_fitted_at_the_same_time(table, monkeypatch):
+    train, test = fraud.split(table)
+    alone = {name: fraud.metrics(fraud.predict(fraud.fit(train, name, settings=FAST), test)) for name in fraud.MODEL_NAMES}
+    fit, meeting, weighings = fraud.fit, threading.Barrier(len(fraud.MODEL_NAMES), timeout=60), []
+    weights = fraud.class_weights
+    monkeypatch.setattr(fraud, "fit", lambda *given: (meeting.wait(), fit(*given))[1])
+    monkeypatch.setattr(fraud, "class_weights", lambda rows: (weighings.append(1), weights(rows))[1])
+    _, scores, _ = fraud.compare(train, test, settings=FAST)
+    assert len(weighings) == 1
+    assert list(scores) == list(fraud.MODEL_NAMES)
+    for name, score in scores.items():
+        assert score == pytest.approx(alone[name])
+
+
 def test_confusion_and_undefined_metrics(spark):
     rows = [(0, 0.0, 0.1), (0, 1.0, 0.9), (1, 1.0, 0.8), (1, 0.0, 0.2), (1, 1.0, 0.7)]
     predictions = spark.createDataFrame(rows, "is_fraud int, prediction double, rawPrediction double")
