@@ -39,7 +39,8 @@ def parse_messages(messages: DataFrame, schema: T.StructType, required: Sequence
     required = required_of(schema) if required is None else required
     options = {"mode": "FAILFAST", **JSON_TIMES}
     document = F.from_json(F.col("value").cast("string"), schema, options)
-    return enforce_required(messages.select(document.alias("m")).select("m.*"), required)
+    # One row of a generator: conditions on its fields stay above it, where a plain projection would parse the message again for each.
+    return enforce_required(messages.select(F.inline_outer(F.array(document))), required)
 
 
 def consume_topic(
@@ -221,8 +222,8 @@ def transfer_partials(spark: SparkSession, out: str) -> DataFrame:
 
 
 def latest_transfer_facts(spark: SparkSession, out: str) -> DataFrame:
-    """The transfer facts of all committed batches."""
-    return transfers_of_routes(merged_partials(transfer_partials(spark, out)))
+    """The transfer facts of all committed batches. A user's partials meet once, for the routes and for the user."""
+    return transfers_of_routes(merged_partials(transfer_partials(spark, out).repartition("user_id")))
 
 
 def compact_transfer_facts(spark: SparkSession, out: str) -> Snapshot:

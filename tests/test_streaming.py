@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from remitlens import schemas
+from remitlens.plans.facts import route_partials
 from remitlens.plans.models import Warehouse
+from remitlens.plans.staging import stg_transfers
 from remitlens.sources import filesystem, readers
 from remitlens.sources.loads import read_files
 from remitlens.sources.snapshots import Conflict, SnapshotStore
@@ -62,6 +64,28 @@ def test_topics_and_landed_files_take_a_fraction_of_their_messages(spark, calls,
     assert equal(read_files(spark, out, schemas.CDRS, multi_line=False), calls)
 
 
+def _plan(df, kind: str) -> str:
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
+def test_conditions_on_fields_parse_each_message_once(spark, sf_dir, tmp_path):
+    transfers = Warehouse.over(spark, sf_dir)["raw_transfers"]
+    ingest.publish_messages(transfers, str(tmp_path / "topic"))
+    rows = ingest.parse_messages(spark.read.text(str(tmp_path / "topic")), schemas.TRANSFERS)
+    assert _plan(route_partials(stg_transfers(rows)), "optimizedPlan").count("from_json") == 1
+    assert equal(rows, transfers)
+
+
+def test_partials_meet_once_for_the_facts(spark, sf_dir, tmp_path):
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    transfers = Warehouse.over(spark, sf_dir)["raw_transfers"]
+    ingest.publish_messages(transfers, topic)
+    ingest.drain(ingest.transfer_facts_stream(ingest.consume_topic(spark, topic, schemas.TRANSFERS), out, str(tmp_path / "checkpoint")))
+    facts = ingest.latest_transfer_facts(spark, out)
+    assert _plan(facts, "executedPlan").count("Exchange hashpartitioning") == 1
+    assert equal(facts, Warehouse.over(spark, sf_dir)["fct_financial_transfers"])
+
+
 def test_unreadable_message_fails_the_query(spark, tmp_path):
     topic = str(tmp_path / "topic")
     spark.createDataFrame([("{broken",)], "value string").write.text(topic)
