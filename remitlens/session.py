@@ -24,6 +24,10 @@ BASE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # A commit writes the changes of its batch; whole snapshots are uploaded in the background. Counting the rows of the state would
+    # cost one look-up for each row put or removed.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
@@ -35,6 +39,8 @@ NEEDED_SETTINGS = (
     "spark.sql.adaptive.skewJoin.enabled",
     "spark.sql.dataFrameQueryContext.enabled",
     "spark.sql.streaming.stateStore.providerClass",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows",
 )
 ADVISORY_BYTES = 128 << 20
 

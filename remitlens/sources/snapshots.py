@@ -28,6 +28,9 @@ from remitlens.sources import filesystem
 from remitlens.sources.observed import RowCounts
 
 
+Part = DataFrame | Callable[[str], DataFrame]
+
+
 class Conflict(RuntimeError):
     """Another writer has committed the next snapshot."""
 
@@ -120,9 +123,10 @@ class SnapshotStore:
             except Conflict:
                 filesystem.remove(self._spark, f"{self.root}/data/{folder}")
 
-    def _stage_parts(self, parts: Mapping[str, DataFrame], partitioned: Mapping[str, str]) -> str:
+    def _stage_parts(self, parts: Mapping[str, Part], partitioned: Mapping[str, str]) -> str:
         name = uuid.uuid4().hex
-        for part, df in parts.items():
+        for part, made in parts.items():
+            df = made(f"{self.root}/data/{name}") if callable(made) else made
             writer = df.write.mode("errorifexists")
             if part in partitioned:
                 writer = df.repartition(partitioned[part]).write.mode("errorifexists").partitionBy(partitioned[part])
@@ -130,9 +134,10 @@ class SnapshotStore:
         return name
 
     def append_parts(
-        self, batch: DataFrame, parts: Callable[[Snapshot], Mapping[str, DataFrame]], writer: str, number: int, partitioned: Mapping[str, str]
+        self, batch: DataFrame, parts: Callable[[Snapshot], Mapping[str, Part]], writer: str, number: int, partitioned: Mapping[str, str]
     ) -> Snapshot:
-        """``append_batch`` for several tables that become visible together; they are made from the snapshot they are added to."""
+        """``append_batch`` for several tables that become visible together; they are made from the snapshot they are added to.
+        They are written in their order, and one that is made from those before it is a function of the folder they lie in."""
         while True:
             base = self.latest()
             if base.marks.get(writer, -1) >= number:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from remitlens.session import settle
-from remitlens.sources.snapshots import SnapshotStore
+from remitlens.sources.snapshots import Part, SnapshotStore
 
 #: Bits of a block (the size of Spark's bitmaps), and bits that a key sets. A block serves some 3 000 keys.
 BLOCK_BITS, HASHES = 32_768, 5
@@ -101,10 +101,14 @@ class LandedKeys:
     def land(self, batch: DataFrame, writer: str, number: int) -> None:
         """Adds the new rows of a batch; a repeated batch of the same writer adds nothing."""
 
-        def parts(snapshot) -> dict[str, DataFrame]:
-            rows = settle(self._spark, self.new_rows(batch, snapshot), "new-rows")
-            keys = self._keyed(rows)
-            return {ROWS: rows, KEYS: keys, FILTER: filter_of(keys, self._blocks)}
+        def parts(snapshot) -> dict[str, Part]:
+            rows = self.new_rows(batch, snapshot)
+
+            def keys(folder: str) -> DataFrame:
+                return self._keyed(self._spark.read.schema(rows.schema).parquet(f"{folder}/{ROWS}"))
+
+            # The rows are computed and written once; keys and filter are made from what was written.
+            return {ROWS: rows, KEYS: keys, FILTER: lambda folder: filter_of(keys(folder), self._blocks)}
 
         self.store.append_parts(batch, parts, writer, number, partitioned={KEYS: "bucket"})
 

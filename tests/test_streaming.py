@@ -11,10 +11,12 @@ from remitlens import schemas
 from remitlens.plans.facts import route_partials
 from remitlens.plans.models import Warehouse
 from remitlens.plans.staging import stg_transfers
+from remitlens.session import prepare
 from remitlens.sources import filesystem, readers
 from remitlens.sources.loads import read_files
 from remitlens.sources.snapshots import Conflict, SnapshotStore
 from remitlens.streaming import ingest, spool
+from remitlens.streaming import landed as landed_module
 from remitlens.streaming.landed import LandedKeys, filter_of, land_once, merged_filter, suspects
 
 
@@ -86,6 +88,19 @@ def test_partials_meet_once_for_the_facts(spark, sf_dir, tmp_path):
     assert equal(facts, Warehouse.over(spark, sf_dir)["fct_financial_transfers"])
 
 
+def test_landed_rows_are_written_once_and_state_keeps_no_row_count(spark, calls, tmp_path, monkeypatch):
+    written, settled = [], landed_module.settle
+    monkeypatch.setattr(landed_module, "settle", lambda spark, df, name: (written.append(name), settled(spark, df, name))[1])
+    prepare(spark)
+    for name, value in (("changelogCheckpointing.enabled", "true"), ("trackTotalNumberOfRows", "false")):
+        assert spark.conf.get(f"spark.sql.streaming.stateStore.rocksdb.{name}") == value
+    keys = LandedKeys(spark, str(tmp_path / "out"), "call_id", blocks=4, buckets=4)
+    keys.land(calls, "writer", 0)
+    assert written == [] and equal(keys.rows(schemas.CDRS), calls)
+    keys.land(calls.unionByName(calls.limit(5).withColumn("call_id", F.concat("call_id", F.lit("-again")))), "writer", 1)
+    assert "new-rows" not in written and keys.rows(schemas.CDRS).count() == calls.count() + 5
+
+
 def test_unreadable_message_fails_the_query(spark, tmp_path):
     topic = str(tmp_path / "topic")
     spark.createDataFrame([("{broken",)], "value string").write.text(topic)
