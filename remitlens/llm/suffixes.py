@@ -33,8 +33,10 @@ LENGTH = 200
 ANCHOR = 64
 #: Distinct neighbourhoods of an anchor that one task may hold.
 GROUP = 20_000
-#: Neighbourhoods that a task sorts together.
-SORTED_TOGETHER = 30_000
+#: Bytes of neighbourhoods that a task sorts together, whole anchors; prefix hashes take eight times as much, twice.
+SORTED_TOGETHER = 2 << 20
+#: Strings of unclear groups that are compared at a time.
+COMPARED_TOGETHER = 1 << 18
 #: A long text is searched in pieces of about this many strings.
 PIECE = 1 << 20
 
@@ -48,21 +50,28 @@ NEIGHBOURS = "a long, n long, copies long, size long, reach int, width int, body
 
 
 class PrefixHashes:
-    """Polynomial hashes modulo 2**64 of all substrings of a byte string, from the hashes of its prefixes."""
+    """Polynomial hashes modulo 2**64 of all substrings of a byte string, from the hashes of its prefixes.
+
+    Of many strings one behind the other, ``places`` has the place of each byte in its own, and one more: substrings stay inside
+    one, so powers reach no further than the longest. A worker keeps the powers.
+    """
 
     _forward = _backward = np.zeros(0, np.uint64)
 
-    def __init__(self, codes: np.ndarray, seed: int = 61):
-        n = len(codes) + 1
+    def __init__(self, codes: np.ndarray, seed: int = 61, places: np.ndarray | None = None):
+        n = len(codes) + 1 if places is None else int(places.max(initial=0)) + 1
         if len(PrefixHashes._forward) < n:
             PrefixHashes._forward, PrefixHashes._backward = powers(_INVERSE, 2 * n), powers(_BASE, 2 * n)
+        self.places = places
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        terms = self.sums[1:]
         with np.errstate(over="ignore"):
-            terms = random_table(256, seed)[codes] * self._forward[: n - 1]
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+            np.multiply(random_table(256, seed)[codes], self._forward[: n - 1] if places is None else self._forward[places[:-1]], out=terms)
+            np.cumsum(terms, out=terms)
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return (self.sums[stop] - self.sums[start]) * self._backward[start]
+            return (self.sums[stop] - self.sums[start]) * self._backward[start if self.places is None else self.places[start]]
 
 
 def _least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -145,11 +154,12 @@ class SuffixSorter:
     """Merge sort of suffixes within groups, compared through prefix hashes.
 
     ``starts`` and ``stops`` delimit the suffixes in ``codes``; ``sizes`` are the lengths of the groups of consecutive suffixes.
+    ``places`` as for PrefixHashes.
     """
 
-    def __init__(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, sizes: np.ndarray):
+    def __init__(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, sizes: np.ndarray, places: np.ndarray | None = None):
         self.codes, self.starts, self.lengths = codes, starts, stops - starts
-        self.hashes = PrefixHashes(codes)
+        self.hashes = PrefixHashes(codes, places=places)
         self.first = np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.size = np.repeat(sizes, sizes)
 
@@ -220,6 +230,15 @@ class SuffixSorter:
         return out
 
 
+def _places(lengths: np.ndarray) -> np.ndarray:
+    """The place of each byte in its own string, of strings one behind the other, and 0 for the end of all."""
+    out = np.ones(int(lengths.sum()) + 1, np.int32)
+    filled = lengths[lengths > 0]
+    out[0] = 0
+    out[np.cumsum(filled)] = 1 - filled
+    return np.cumsum(out, out=out)
+
+
 def covered_offsets(
     bodies: list[bytes], reach: np.ndarray, width: np.ndarray, sizes: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -228,12 +247,13 @@ def covered_offsets(
     ``reach``: bytes before the anchor; ``width``: strings less one; ``sizes``: lengths of the groups of one anchor.
     """
     codes = np.frombuffer(b"".join(bodies), np.uint8)
-    ends = np.cumsum([len(b) for b in bodies])
-    begins = ends - [len(b) for b in bodies]
+    lengths = np.array([len(b) for b in bodies], np.int64)
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
     anchors = begins + reach
-    right = SuffixSorter(codes, anchors, ends, sizes)
     total = len(codes)
-    left = SuffixSorter(codes[::-1], total - anchors, total - begins, sizes)
+    right = SuffixSorter(codes, anchors, ends, sizes, _places(lengths))
+    left = SuffixSorter(codes[::-1], total - anchors, total - begins, sizes, _places(lengths[::-1]))
     most_right, by_right = right.nearest()
     most_left, by_left = left.nearest()
     everyone = np.arange(len(bodies))
@@ -254,19 +274,22 @@ def covered_offsets(
 def _by_strings(
     hashes: PrefixHashes, begins: np.ndarray, reach: np.ndarray, width: np.ndarray, group: np.ndarray, length: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The same offsets from all strings of the neighbourhoods."""
-    counts = width + 1
-    owner = np.repeat(np.arange(len(begins)), counts)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = begins[owner] + step
-    digest = mix(hashes.of(starts, starts + length) ^ mix(group[owner].astype(np.uint64), 65), 66)
-    _, inverse, times = np.unique(digest, return_inverse=True, return_counts=True)
-    repeated = times[inverse] > 1
-    offsets = reach[owner] - step
-    low, high = np.full(len(begins), np.iinfo(np.int64).max), np.full(len(begins), -1)
-    np.minimum.at(low, owner[repeated], offsets[repeated])
-    np.maximum.at(high, owner[repeated], offsets[repeated])
-    return np.where(high < 0, 1, low), np.where(high < 0, 0, high)
+    """The same offsets from all strings of the neighbourhoods. Equal strings have their anchor at equal offsets, so some offsets are
+    taken at a time."""
+    least, most = np.full(len(begins), np.iinfo(np.int64).max), np.full(len(begins), -1)
+    step = max(1, COMPARED_TOGETHER // len(begins))
+    for offset in range(int((reach - width).min()), int(reach.max()) + 1, step):
+        first = np.maximum(reach - width, offset)
+        counts = np.maximum(np.minimum(reach, offset + step - 1) - first + 1, 0)
+        owner = np.repeat(np.arange(len(begins)), counts)
+        offsets = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = begins[owner] + reach[owner] - offsets
+        digest = mix(hashes.of(starts, starts + length) ^ mix(group[owner].astype(np.uint64), 65), 66)
+        _, inverse, times = np.unique(digest, return_inverse=True, return_counts=True)
+        repeated = times[inverse] > 1
+        np.minimum.at(least, owner[repeated], offsets[repeated])
+        np.maximum.at(most, owner[repeated], offsets[repeated])
+    return np.where(most < 0, 1, least), np.where(most < 0, 0, most)
 
 
 def _sorted_batches(length: int) -> Callable:
@@ -288,14 +311,18 @@ def _sorted_batches(length: int) -> Callable:
 
     def offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
+        size = 0
         for batch in batches:
-            held += batch.to_pylist()
-            if len(held) >= SORTED_TOGETHER:
+            rows = batch.to_pylist()
+            held += rows
+            size += sum(len(r["body"]) for r in rows)
+            if size >= SORTED_TOGETHER:
                 last = held[-1]["a"]
                 cut = next((i for i in range(len(held), 0, -1) if held[i - 1]["a"] != last), 0)
                 if cut:
                     yield solved(held[:cut])
                     held = held[cut:]
+                    size = sum(len(r["body"]) for r in held)
         if held:
             yield solved(held)
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import plain
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from conftest import SMALL
@@ -92,6 +94,53 @@ def test_suffix_order(texts):
     assert [texts[i] for i in order[half:]] == sorted(texts[half:])
 
 
+def _neighbourhood_rows(groups, size, length=200):
+    """Rows of the sorter, ``size`` neighbourhoods of each anchor that share some bytes on either side."""
+    rng = random.Random(11)
+    for a in range(groups):
+        middle = rng.randbytes(64)
+        left, right = rng.randbytes(136), rng.randbytes(136)
+        for n in range(size):
+            reach, behind = rng.randint(70, 136), rng.randint(70, 136)
+            x, y = rng.randint(0, reach), rng.randint(0, behind)
+            body = rng.randbytes(reach - x) + left[136 - x :] + middle + right[:y] + rng.randbytes(behind - y)
+            yield {"a": a, "n": n, "copies": 1, "size": size, "reach": reach, "width": len(body) - length, "body": body}
+
+
+@pytest.mark.parametrize(("groups", "size"), [(4_500, 8), (3, 3_000)])
+def test_sorted_neighbourhoods_fit_a_worker(groups, size):
+    """Bytes are held, not rows: a worker of a few hundred MB has room for whatever comes."""
+    sort, rows = suffixes._sorted_batches(200), list(_neighbourhood_rows(groups, size))
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 500]) for i in range(0, len(rows), 500)]
+    tracemalloc.start()
+    try:
+        found = [r for batch in sort(iter(batches)) for r in batch.to_pylist()]
+        assert tracemalloc.get_traced_memory()[1] < 150e6
+    finally:
+        tracemalloc.stop()
+    starts = [(r["a"], r["body"][i : i + 200], r["n"], r["reach"] - i) for r in rows for i in range(r["width"] + 1)]
+    times = Counter((a, s) for a, s, _, _ in starts)
+    hits = {}
+    for a, s, n, offset in starts:
+        if times[a, s] > 1:
+            hits.setdefault((a, n), []).append(offset)
+    assert {(r["a"], r["n"]): (r["least"], r["most"]) for r in found} == {k: (min(v), max(v)) for k, v in hits.items()}
+
+
+@pytest.mark.parametrize("together", [1, 300, 1 << 18])
+def test_strings_are_compared_some_offsets_at_a_time(monkeypatch, together):
+    rows = list(_neighbourhood_rows(4, 12))
+    reach, width = (np.array([r[c] for r in rows], np.int64) for c in ("reach", "width"))
+    ends = np.cumsum([len(r["body"]) for r in rows])
+    begins = ends - [len(r["body"]) for r in rows]
+    group = np.array([r["a"] for r in rows])
+    hashes = suffixes.PrefixHashes(np.frombuffer(b"".join(r["body"] for r in rows), np.uint8))
+    monkeypatch.setattr(suffixes, "COMPARED_TOGETHER", together)
+    low, high = suffixes._by_strings(hashes, begins, reach, width, group, 200)
+    expected = suffixes.covered_offsets([r["body"] for r in rows], reach, width, np.full(4, 12), 200)
+    assert [(a, b) for a, b in zip(low, high, strict=True) if a <= b] == [(a, b) for a, b in zip(*expected, strict=True) if a <= b]
+
+
 def test_near_duplicates(spark):
     for rows in (ROWS, REPEATED):
         found = minhash.near_duplicates(frame(spark, rows), minhash.STRICT)
