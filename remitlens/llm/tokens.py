@@ -37,11 +37,11 @@ from remitlens.session import scratch_path
 SEGMENT_IDS = 1 << 20
 #: Bytes of text of a part of the file.
 PART_BYTES = 16 << 20
-#: Encoded words that a worker remembers, and that the library gets as one text.
+#: Encoded pieces that a worker remembers, and that the library gets as one text.
 REMEMBERED = 1_200_000
 JOINED = 2_000
-#: First words of texts are remembered up to this length.
-LONGEST_HEAD = 40
+#: Pieces are remembered up to this many bytes.
+LONGEST = 64
 #: Fixed value: how byte-level vocabularies write the space.
 SPACE_LETTER = "\u0120"
 #: The bases of so many parts of a file are sent to every worker; beyond that they are joined.
@@ -53,26 +53,50 @@ FILE_SCHEMA = (
 )
 
 
+_BYTES = np.arange(256)
+_IS_LETTER = ((_BYTES | 32) >= ord("a")) & ((_BYTES | 32) <= ord("z")) & (_BYTES < 128)
+_IS_REST = (_BYTES < 128) & ~_IS_LETTER
+_IS_SEEN = (_BYTES > 32) & (_BYTES < 127)
+
+
+def _cuts(data: np.ndarray, letters: bool) -> np.ndarray:
+    """Whether UTF-8 may be cut before each byte but the first: before a space behind a character other than white space, and, with
+    ``letters``, before any ASCII character but a letter behind an ASCII letter or one from U+00C0 to U+024F."""
+    here, before = data[1:], data[:-1]
+    rest = _IS_REST[here] if letters else here == 32
+    cut = rest & _IS_LETTER[before] | (here == 32) & _IS_SEEN[before]
+    # Behind a character of several bytes; at least two, of which the last is before the cut.
+    at = np.flatnonzero(rest & (before >= 128))
+    last, second, third = data[at], data[at - 1], data[np.maximum(at - 2, 0)]
+    latin = (second >= 0xC3) & (second <= 0xC9) & ~((second == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+    latin &= (second < 0xC9) | (last <= 0x8F)
+    white = (second == 0xC2) & ((last == 0x85) | (last == 0xA0)) | (third == 0xE2) & ((second == 0x80) | (second == 0x81))
+    white |= (third == 0xE3) & (second == 0x80) & (last == 0x80) | (third == 0xE1) & ((second == 0x9A) | (second == 0xA0))
+    cut[at] = latin | ~white & (here[at] == 32)
+    return cut
+
+
 class WordEncoder:
-    """Encodes texts with a byte-level BPE of the tokenizers library, each distinct word once.
+    """Encodes texts with a byte-level BPE of the tokenizers library, each distinct piece once.
 
-    The tokenizer cuts a text before any space that follows a character other than white space, whatever comes next, so
-    a text may be cut there and its parts encoded apart. Texts with a space after white space, and texts that contain an
-    added token such as <|endoftext|>, go to the library whole.
-    New words go to the library many at a time, as one text; the ids of a word are those from one that starts with
-    the space to the next.
+    The tokenizer cuts a text before any space that follows a character other than white space, whatever comes next. With the pattern
+    of GPT-2, letters also end where another character follows. So a text may be cut there, and its pieces encoded apart: "One, two"
+    is "One", "," and " two". Texts that contain an added token such as <|endoftext|> go to the library whole.
+    Each distinct piece of a batch is looked up once. New pieces with one space, which they start with, go to the library many at a
+    time, as one text; the ids of a piece are those from one that starts with the space to the next.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        cutter = self.tokenizer.pre_tokenizer
+        self.letters = isinstance(cutter, pre_tokenizers.ByteLevel) and cutter.use_regex and not self.tokenizer.normalizer
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.starts = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_LETTER) for i in range(size)])
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if token.content]
         # An added token may also be looked for in the normalized text.
         self.normalize = self.tokenizer.normalizer.normalize_str if self.added and self.tokenizer.normalizer else None
@@ -89,60 +113,77 @@ class WordEncoder:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [np.array(e.ids, self.dtype) for e in encode(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Add words, none of which ends in white space, to the known ones."""
-        pieces = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
-        for own, ids in zip(pieces, self._library([" " + " ".join(own) for own in pieces]), strict=True):
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of new pieces; short ones are remembered."""
+        texts = [piece.decode() for piece in pieces]
+        one_space = [text[0] == " " and " " not in text[1:] and not text[-1].isspace() for text in texts]
+        numbers = [i for i, one in enumerate(one_space) if one]
+        groups = [numbers[i : i + JOINED] for i in range(0, len(numbers), JOINED)]
+        out = [b""] * len(pieces)
+        for group, ids in zip(groups, self._library(["".join([texts[i] for i in group]) for group in groups]), strict=True):
             edges = np.append(np.flatnonzero(self.starts[ids]), len(ids)) * self.dtype.itemsize
             data, edges = ids.tobytes(), edges.tolist()
-            if len(edges) != len(own) + 1:
+            if len(edges) != len(group) + 1:
                 raise ValueError("the tokenizer does not start each word with its space")
-            self.known.update(zip(own, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
-
-    def _first_words(self, words: list[str]) -> list[bytes]:
-        """The ids of texts without a space; short ones are remembered."""
-        heads = self.heads
-        if len(heads) > REMEMBERED // 4:
-            heads.clear()
-        fresh = [word for word in dict.fromkeys(words) if word not in heads]
-        found = dict(zip(fresh, [ids.tobytes() for ids in self._library(fresh)], strict=True))
-        heads.update((word, ids) for word, ids in found.items() if len(word) <= LONGEST_HEAD)
-        return [heads[word] if word in heads else found[word] for word in words]
+            for i, a, b in zip(group, edges, edges[1:], strict=False):
+                out[i] = data[a:b]
+        alone = [i for i, one in enumerate(one_space) if not one]
+        for i, ids in zip(alone, self._library([texts[i] for i in alone]), strict=True):
+            out[i] = ids.tobytes()
+        self.known.update((piece, ids) for piece, ids in zip(pieces, out, strict=True) if len(piece) <= LONGEST)
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces."""
         if len(self.known) > REMEMBERED // 2:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        # A text with an added token is one part; a single part goes to the library as it is.
-        split = [[text] if self._has_added(text) else text.split(" ") for text in texts]
-        heads = self._first_words([parts[0] for parts in split])
-        found, holes, fresh, whole = [], [], {}, {}
-        for number, (parts, head) in enumerate(zip(split, heads, strict=True)):
-            ids = list(map(known.get, parts))
-            ids[0] = head
-            found.append(ids)
-            open_places = [i for i, word_ids in enumerate(ids) if word_ids is None] if None in ids else []
-            holes.append(open_places)
-            for i in open_places:
-                word = parts[i]
-                if word in older:
-                    known[word] = older[word]
-                elif not word or word[-1].isspace():
-                    whole[number] = None
-                else:
-                    fresh[word] = None
-        self._learn(list(fresh))
-        whole.update(zip(whole, self._library([texts[number] for number in whole]), strict=True))
-        out = []
-        for number, (parts, ids, open_places) in enumerate(zip(split, found, holes, strict=True)):
-            if number in whole:
-                out.append(whole[number].tobytes())
-                continue
-            for i in open_places:
-                ids[i] = known[parts[i]]
-            out.append(b"".join(ids))
+        out = list(map(known.get, pieces))
+        fresh = []
+        for i in [i for i, ids in enumerate(out) if ids is None] if None in out else ():
+            piece = pieces[i]
+            ids = older.get(piece)
+            if ids is None:
+                fresh.append(i)
+            else:
+                out[i] = known[piece] = ids
+        for i, ids in zip(fresh, self._learn([pieces[i] for i in fresh]), strict=True):
+            out[i] = ids
         return out
 
+    def _cut(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct pieces of all texts, the number of each text's pieces in order, and where the texts begin and end in these."""
+        array = pa.array(texts, pa.string())
+        _, offsets, buffer = array.buffers()
+        edges = np.frombuffer(offsets, np.int32)[: len(texts) + 1]
+        size = int(edges[-1])
+        if not size:
+            return [], np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        marks = np.zeros(size + 1, bool)
+        marks[1:-1] = _cuts(np.frombuffer(buffer, np.uint8)[:size], self.letters)
+        marks[edges] = True
+        bounds = np.flatnonzero(marks).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), buffer]).dictionary_encode()
+        _, offsets, buffer = coded.dictionary.buffers()
+        ends, data = np.frombuffer(offsets, np.int32)[: len(coded.dictionary) + 1].tolist(), buffer.to_pybytes()
+        pieces = [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        return pieces, coded.indices.to_numpy(), np.searchsorted(bounds, edges)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        apart = [number for number, text in enumerate(texts) if self._has_added(text)]
+        whole = dict(zip(apart, self._library([texts[number] for number in apart]), strict=True))
+        pieces, numbers, edges = self._cut(["" if number in whole else text for number, text in enumerate(texts)])
+        ids = self._ids_of(pieces)
+        # The ids of each piece are copied to their places, all at once.
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        starts, taken = np.cumsum(lengths) - lengths, lengths[numbers]
+        ends = np.cumsum(taken)
+        at = np.repeat(starts[numbers] - (ends - taken), taken)
+        at += np.arange(len(at))
+        data = np.frombuffer(b"".join(ids), self.dtype)[at].tobytes()
+        bounds = (np.append(0, ends)[edges] * self.dtype.itemsize).tolist()
+        return [whole[i].tobytes() if i in whole else data[a:b] for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 

@@ -310,6 +310,36 @@ def test_words_encode_like_the_text(texts):
     assert encoder.encode(texts) == expected
 
 
+EDGES = [*"aZ ,.'s1_~@[\x7f\n\t\x01\x85\xa0²×÷ÀÖØöøÿɏɐԀéя漢の🙂", "\u0301", "\u1680", "\u180e", "\u2003", "\u2028", "\u205f", "\u3000", "ll", "  "]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(EDGES), max_size=30).map("".join), max_size=6))
+def test_pieces_encode_like_the_text(texts):
+    encoder = tokens._encoder(BPE)
+    expected = [np.array(e.ids, encoder.dtype).tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == expected == encoder.encode(texts)
+
+
+def test_a_known_word_is_not_encoded_again_with_its_punctuation(monkeypatch):
+    encoder, sent = tokens.WordEncoder(BPE), []
+    library = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: sent.extend(texts) or library(texts))
+    first, second = "Gezuhfns ofanonorsh cióncioel", "Ofanonorsh ofanonorsh, cióncioel.\nGezuhfns ofanonorsh***"
+    encoder.encode([first])
+    sent.clear()
+    expected = np.array(encoder.tokenizer.encode(second, add_special_tokens=False).ids, encoder.dtype).tobytes()
+    assert encoder.encode([second]) == [expected]
+    assert sorted(text for text in sent if text) == sorted(["Ofanonorsh", ",", ".\nGezuhfns", "***"])
+
+
+def test_words_of_any_length_do_not_fill_a_worker():
+    encoder = tokens.WordEncoder(BPE)
+    text = " ".join("ab" * 5_000 + str(i) for i in range(5))
+    assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sum(map(len, encoder.known)) < 1_000
+
+
 def test_added_tokens_encode_as_the_tokenizer_does(spark, tmp_path):
     from tokenizers import Tokenizer
 
